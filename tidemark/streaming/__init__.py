@@ -1,0 +1 @@
+"""No streaming operator belongs to this library: late data is handled by re-reading dates."""
