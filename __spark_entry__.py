@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from oracle_queries import ORACLE_SQL
 from tidemark.functions.bands import BANDS
-from tidemark.functions.dates import Window, in_window, lookback_spine as spine_before, lookback_window
+from tidemark.functions.dates import in_window, lookback_window, window_spine
 from tidemark.operators import profile as pf
 from tidemark.operators import reconcile as rc
 from tidemark.operators.align import align
@@ -42,19 +42,12 @@ AS_OF = date(2001, 8, 2)
 WINDOW = lookback_window(AS_OF)
 
 
-def _base(spark: SparkSession, sf_dir: str, window: Window | None = None) -> DataFrame:
-    return base_of(read_orders(spark, sf_dir), window)
+def _base(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return base_of(read_orders(spark, sf_dir))
 
 
-def _settled(
-    spark: SparkSession, sf_dir: str, window: Window | None = None, nights_ago: int = 0
-) -> DataFrame:
-    return settle(_base(spark, sf_dir, window), AS_OF - timedelta(days=nights_ago))
-
-
-def _since(days: int) -> Window:
-    """From ``days`` ago to the newest row there can be: arrivals are dated tomorrow."""
-    return Window(AS_OF - timedelta(days=days), AS_OF + timedelta(days=1))
+def _settled(spark: SparkSession, sf_dir: str, nights_ago: int = 0) -> DataFrame:
+    return settle(_base(spark, sf_dir), AS_OF - timedelta(days=nights_ago))
 
 
 def _planted_source(df: DataFrame) -> DataFrame:
@@ -74,7 +67,7 @@ def _history(spark: SparkSession, sf_dir: str, nights_ago: int = 0) -> StagedDat
     """All rows as they stood some nights ago, written once per session."""
     key = (spark.sparkContext.applicationId, sf_dir, nights_ago)
     if key not in _STAGED:
-        rows = _settled(spark, sf_dir, nights_ago=nights_ago)
+        rows = _settled(spark, sf_dir, nights_ago)
         _STAGED[key] = stage(rows, scratch_path(spark, f"history_{nights_ago}"))
     return _STAGED[key]
 
@@ -101,21 +94,27 @@ def settled_snapshot(spark, sf_dir):
 
 def partition_scan_one_date(spark, sf_dir):
     newest = WINDOW.last.isoformat()
-    return scan_date(_settled(spark, sf_dir, Window(WINDOW.last, WINDOW.last)), newest)
+    return scan_date(_settled(spark, sf_dir), newest)
 
 
 def window_scan(spark, sf_dir):
-    return scan_window(_settled(spark, sf_dir, WINDOW), WINDOW)
+    return scan_window(_settled(spark, sf_dir), WINDOW)
 
 
 def lookback_spine(spark, sf_dir):
+    """The window before the day after the newest date, with the rows of each of its dates."""
     base = _base(spark, sf_dir)
-    per_date = base.groupBy("shipment_date").agg(F.count("*").alias("n"))
-    anchor = per_date.agg(F.date_add(F.max("shipment_date"), 1).alias("as_of"))
+    newest = base.agg(F.max("shipment_date")).first()[0]
+    window = lookback_window(newest + timedelta(days=1))
+    per_date = base.filter(in_window(window)).groupBy("shipment_date").agg(F.count("*").alias("n"))
     return (
-        spine_before(anchor)
+        window_spine(spark, window)
         .join(per_date, "shipment_date", "left")
-        .select("day_no", "shipment_date", F.coalesce("n", F.lit(0)).alias("row_count"))
+        .select(
+            (F.datediff(F.lit(window.last), "shipment_date") + 1).alias("day_no"),
+            "shipment_date",
+            F.coalesce("n", F.lit(0)).alias("row_count"),
+        )
     )
 
 
@@ -213,16 +212,16 @@ def recent_dates_top10(spark, sf_dir):
 
 
 def profile_sample(spark, sf_dir):
-    report = pf.per_date_profile(_settled(spark, sf_dir, WINDOW), WINDOW)
+    report = pf.per_date_profile(_settled(spark, sf_dir), WINDOW)
     return report.orderBy(F.desc("shipment_date")).limit(5)
 
 
 def date_version_status_70d(spark, sf_dir):
-    return pf.date_version_status(_settled(spark, sf_dir, _since(70)), AS_OF)
+    return pf.date_version_status(_settled(spark, sf_dir), AS_OF)
 
 
 def window_status(spark, sf_dir):
-    return pf.window_status(_settled(spark, sf_dir, _since(60)), AS_OF)
+    return pf.window_status(_settled(spark, sf_dir), AS_OF)
 
 
 def frozen_rows(spark, sf_dir):
@@ -230,13 +229,13 @@ def frozen_rows(spark, sf_dir):
 
 
 def per_date_profile(spark, sf_dir):
-    return pf.per_date_profile(_settled(spark, sf_dir, WINDOW), WINDOW)
+    return pf.per_date_profile(_settled(spark, sf_dir), WINDOW)
 
 
 def pushed_profile(spark, sf_dir):
     """The text a relational source is asked for its profile with, run by Spark itself."""
     view = f"settled_{uuid.uuid4().hex}"
-    _settled(spark, sf_dir, WINDOW).createOrReplaceTempView(view)
+    _settled(spark, sf_dir).createOrReplaceTempView(view)
     return spark.sql(f"SELECT * FROM {profile_query(view, WINDOW)}")
 
 
@@ -249,14 +248,14 @@ def seed_date(spark, sf_dir):
 
 
 def band_violations(spark, sf_dir):
-    return pf.band_violations(_settled(spark, sf_dir, nights_ago=11), AS_OF)
+    return pf.band_violations(_settled(spark, sf_dir, 11), AS_OF)
 
 
 # Reconciliation
 
 
 def _planted_report(spark, sf_dir):
-    settled = _settled(spark, sf_dir, WINDOW)
+    settled = _settled(spark, sf_dir)
     return rc.reconcile(
         pf.per_date_profile(_planted_source(settled), WINDOW),
         pf.per_date_profile(_planted_sink(settled), WINDOW),
@@ -281,8 +280,8 @@ def reconcile_spine(spark, sf_dir):
 
 def deep_reconcile(spark, sf_dir):
     """The sink is also three nights old, which equal counts cannot show."""
-    source = _planted_source(_settled(spark, sf_dir, WINDOW))
-    sink = _planted_sink(_settled(spark, sf_dir, WINDOW, nights_ago=3))
+    source = _planted_source(_settled(spark, sf_dir))
+    sink = _planted_sink(_settled(spark, sf_dir, 3))
     return rc.deep_reconcile(
         pf.per_date_profile(source, WINDOW, checksums=True),
         pf.per_date_profile(sink, WINDOW, checksums=True),
@@ -290,9 +289,9 @@ def deep_reconcile(spark, sf_dir):
 
 
 def partition_row_diff(spark, sf_dir):
-    source = _planted_source(_settled(spark, sf_dir, WINDOW))
-    sink = _planted_sink(_settled(spark, sf_dir, WINDOW, nights_ago=3))
-    return rc.row_differences(source, sink)
+    source = _planted_source(_settled(spark, sf_dir))
+    sink = _planted_sink(_settled(spark, sf_dir, 3))
+    return rc.row_differences(scan_window(source, WINDOW), scan_window(sink, WINDOW))
 
 
 def failing_dates(spark, sf_dir):
@@ -312,7 +311,7 @@ def append_insert(spark, sf_dir):
     """History first, the window appended to it."""
     table = _new_table(spark, "append")
     append(_settled(spark, sf_dir).filter(~in_window(WINDOW)), table)
-    append(_settled(spark, sf_dir, WINDOW), table)
+    append(scan_window(_settled(spark, sf_dir), WINDOW), table)
     return shipments(spark, table)
 
 
@@ -333,53 +332,52 @@ def advance_boundary(spark, sf_dir):
 
 def boundary_preview(spark, sf_dir):
     """Rows the boundary moves, without a table: version counts before the night and after."""
-    return pf.version_counts(advanced(_settled(spark, sf_dir, nights_ago=1), AS_OF))
+    return pf.version_counts(advanced(_settled(spark, sf_dir, 1), AS_OF))
 
 
 def rebuild_window(spark, sf_dir):
     """Eleven nights missed and not made up for: the dates that froze meanwhile stay stale."""
     table = _new_table(spark, "rebuild", _history(spark, sf_dir, 11))
-    rebuild(_settled(spark, sf_dir, WINDOW), table, AS_OF)
+    rebuild(_settled(spark, sf_dir), table, AS_OF)
     return shipments(spark, table)
 
 
 def rebuild_missed_night(spark, sf_dir):
     """The same with the window widened by the missed nights."""
     table = _new_table(spark, "missed", _history(spark, sf_dir, 11))
-    source = _settled(spark, sf_dir, lookback_window(AS_OF, missed_nights=10))
-    rebuild(source, table, AS_OF, missed_nights=10)
+    rebuild(_settled(spark, sf_dir), table, AS_OF, missed_nights=10)
     return shipments(spark, table)
 
 
 def rebuild_one_date(spark, sf_dir):
     table = _new_table(spark, "one_date", _history(spark, sf_dir, 11))
     boundary = AS_OF - timedelta(days=31)
-    rebuild_dates(_settled(spark, sf_dir, Window(boundary, boundary)), table, [boundary])
+    rebuild_dates(_settled(spark, sf_dir), table, [boundary])
     return shipments(spark, table)
 
 
 def rebuild_empty_date(spark, sf_dir):
     """Dates that have no rows at the source any more."""
     table = _new_table(spark, "empty", _history(spark, sf_dir, 1))
-    rebuild(_planted_source(_settled(spark, sf_dir, WINDOW)), table, AS_OF)
+    rebuild(_planted_source(_settled(spark, sf_dir)), table, AS_OF)
     return shipments(spark, table)
 
 
 def rebuild_summary(spark, sf_dir):
     table = _new_table(spark, "summary", _history(spark, sf_dir, 1))
-    return rebuild(_planted_source(_settled(spark, sf_dir, WINDOW)), table, AS_OF).summary(spark)
+    return rebuild(_planted_source(_settled(spark, sf_dir)), table, AS_OF).summary(spark)
 
 
 def rebuild_by_date(spark, sf_dir):
     table = _new_table(spark, "by_date", _history(spark, sf_dir, 1))
-    return rebuild(_planted_source(_settled(spark, sf_dir, WINDOW)), table, AS_OF).by_date(spark)
+    return rebuild(_planted_source(_settled(spark, sf_dir)), table, AS_OF).by_date(spark)
 
 
 def repair_cycle(spark, sf_dir):
     """Planted defects found, the failing dates rebuilt, and the window compared again."""
-    source = _planted_source(_settled(spark, sf_dir, WINDOW))
+    source = _planted_source(_settled(spark, sf_dir))
     table = _new_table(spark, "repair", _history(spark, sf_dir))
-    rebuild(_planted_sink(_settled(spark, sf_dir, WINDOW)), table, AS_OF)
+    rebuild(_planted_sink(_settled(spark, sf_dir)), table, AS_OF)
 
     def report():
         return rc.reconcile(
@@ -397,7 +395,7 @@ def frozen_guard(spark, sf_dir):
     before = frozen_checksums(shipments(spark, table), WINDOW)
     before.write.parquet(kept)
     before = spark.read.schema(before.schema).parquet(kept)
-    rebuild(_settled(spark, sf_dir, WINDOW), table, AS_OF)
+    rebuild(_settled(spark, sf_dir), table, AS_OF)
     after = frozen_checksums(shipments(spark, table), WINDOW)
     changed = frozen_changes(before, after).agg(F.count("*")).scalar()
     return after.agg(

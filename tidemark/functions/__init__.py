@@ -3,7 +3,6 @@ from tidemark.functions.dates import (
     LOOKBACK_DAYS,
     Window,
     in_window,
-    lookback_spine,
     lookback_window,
     on_dates,
     window_spine,
@@ -18,7 +17,6 @@ __all__ = [
     "by_band",
     "checksum_aggregates",
     "in_window",
-    "lookback_spine",
     "lookback_window",
     "on_dates",
     "window_spine",

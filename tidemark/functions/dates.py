@@ -60,24 +60,16 @@ def on_dates(dates: Iterable[date], column: str = "shipment_date") -> Column:
     ordered = sorted(set(dates))
     if not ordered:
         return F.lit(False)
-    window = Window(ordered[0], ordered[-1])
-    if window.days == len(ordered):
-        return F.col(column) == F.lit(ordered[0]) if window.days == 1 else in_window(window, column)
-    return F.col(column).isin([F.lit(d) for d in ordered])
-
-
-def lookback_spine(
-    anchor: DataFrame, lookback_days: int = LOOKBACK_DAYS, as_of: str = "as_of"
-) -> DataFrame:
-    """One row per date of the window before each row's ``as_of``, newest first by ``day_no``."""
-    return (
-        anchor.select(as_of, F.explode(F.sequence(F.lit(1), F.lit(lookback_days))).alias("day_no"))
-        .select("day_no", F.date_sub(as_of, F.col("day_no")).alias("shipment_date"))
-    )
+    hull = Window(ordered[0], ordered[-1])
+    if hull.days == 1:
+        return F.col(column) == F.lit(hull.first)
+    if hull.days == len(ordered):
+        return in_window(hull, column)
+    # The bounds also reach scans that cannot take the list.
+    return in_window(hull, column) & F.col(column).isin([F.lit(d) for d in ordered])
 
 
 def window_spine(spark: SparkSession, window: Window) -> DataFrame:
     """The window's dates as rows, one for each, even where no data exists."""
-    return spark.range(window.days).select(
-        F.date_add(F.lit(window.first), F.col("id").cast("int")).alias("shipment_date")
-    )
+    bounds = spark.range(1).select(F.lit(window.first).alias("first"), F.lit(window.last).alias("last"))
+    return bounds.select(F.explode(F.sequence("first", "last")).alias("shipment_date"))

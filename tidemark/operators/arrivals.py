@@ -29,8 +29,9 @@ def nightly_arrivals(
     The rows with the smallest ids are taken, so that a re-run gives the same arrivals. Rows
     dated after ``as_of`` never seed, so arrivals do not breed arrivals.
     """
-    latest = seed_date(df, as_of).scalar()
-    seeds = smallest_ids(df.filter(F.col("shipment_date") == latest), rows)
+    # A literal date, unlike a subquery, prunes partitions and row groups.
+    latest = seed_date(df, as_of).first()[0]
+    seeds = smallest_ids(df.filter(F.col("shipment_date") == F.lit(latest)), rows)
     arrived = {
         "shipment_id": F.col("shipment_id") + F.lit(id_offset).cast("bigint"),
         "shipment_date": F.lit(as_of + timedelta(days=1)),

@@ -2,13 +2,10 @@
 
 from __future__ import annotations
 
-from datetime import timedelta
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.bands import PENDING_STATUS, PENDING_VERSION
-from tidemark.functions.dates import Window
 from tidemark.schema import CARRIER_COUNT, REGIONS, SHIPMENT_COLUMNS
 
 
@@ -16,17 +13,11 @@ def read_orders(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/orders.parquet")
 
 
-def base_shipments(orders: DataFrame, window: Window | None = None) -> DataFrame:
+def base_shipments(orders: DataFrame) -> DataFrame:
     """One pending shipment per order.
 
-    With a ``window`` the bounds are put on the order timestamp itself, where the Parquet scan
-    can skip row groups; a filter on the derived date would be applied after reading.
+    Literal bounds on ``shipment_date`` still reach the scan, as bounds on the order timestamp.
     """
-    if window:
-        orders = orders.filter(
-            (F.col("o_orderdate") >= F.lit(window.first).cast("timestamp_ntz"))
-            & (F.col("o_orderdate") < F.lit(window.last + timedelta(days=1)).cast("timestamp_ntz"))
-        )
     key, customer = F.col("o_orderkey"), F.col("o_custkey")
     values = {
         "shipment_id": key,
