@@ -132,6 +132,8 @@ DIFFERENCES = """differences AS (
          coalesce(a.shipment_date, b.shipment_date) AS shipment_date,
          CASE WHEN b.shipment_id IS NULL THEN 'ONLY_IN_SOURCE'
               WHEN a.shipment_id IS NULL THEN 'ONLY_IN_SINK' ELSE 'CHANGED' END AS difference,
+         CAST(CASE WHEN a.shipment_id IS NULL THEN 0 ELSE 1 END AS BIGINT) AS rows_source,
+         CAST(CASE WHEN b.shipment_id IS NULL THEN 0 ELSE 1 END AS BIGINT) AS rows_sink,
          a.record_version AS version_source, b.record_version AS version_sink,
          a.actual_cost AS actual_cost_source, b.actual_cost AS actual_cost_sink
   FROM source_rows a FULL OUTER JOIN sink_rows b ON a.shipment_id = b.shipment_id

@@ -109,3 +109,11 @@ def test_band_violations_show_what_is_expected(spark):
     assert found == {at_age(31): (2, 3, 3), at_age(60): (3, 4, 1)}
     uncosted = settle(by_age(spark, {1: 2}), TODAY).withColumn("actual_cost", F.expr("CAST(NULL AS DECIMAL(18,2))"))
     assert [r.uncosted_rows for r in band_violations(uncosted, TODAY).collect()] == [2]
+
+
+def test_row_differences_stay_linear_for_a_repeated_id(spark):
+    source = settle(by_age(spark, {1: 1}), TODAY)
+    repeated = source.withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(50_000)))).drop("copy")
+    assert rc.row_differences(repeated, repeated).count() == 0
+    found = rc.row_differences(repeated, repeated.limit(49_999)).collect()
+    assert [(r.difference, r.rows_source, r.rows_sink) for r in found] == [("CHANGED", 50_000, 49_999)]

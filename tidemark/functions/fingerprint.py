@@ -10,18 +10,26 @@ from pyspark.sql import functions as F
 from tidemark.schema import SHIPMENT_COLUMNS
 
 
-def checksum_aggregates(columns: Sequence[str] = SHIPMENT_COLUMNS) -> list[Column]:
-    """Aggregates that are equal for equal bags of rows.
+def row_hash(columns: Sequence[str] = SHIPMENT_COLUMNS) -> Column:
+    """Hash of a row's values. xxhash64 skips nulls, so nullness is hashed as a value of its own."""
+    return F.xxhash64(*[part for c in columns for part in (F.col(c), F.col(c).isNull())])
+
+
+def bag_hash(hashes: Column) -> tuple[Column, Column]:
+    """Two aggregates over row hashes that together are equal for equal bags of rows.
 
     XOR alone cannot see a row that is stored twice, so a sum of the hashes' upper 24 bits goes
     with it; that sum stays within BIGINT for 5e11 rows in a group.
     """
-    # A null leaves xxhash64 unchanged, so nullness is hashed as its own value.
-    parts = [p for c in columns for p in (F.col(c), F.col(c).isNull())]
-    row_hash = F.xxhash64(*parts)
+    return F.bit_xor(hashes), F.sum(F.shiftrightunsigned(hashes, 40))
+
+
+def checksum_aggregates(columns: Sequence[str] = SHIPMENT_COLUMNS) -> list[Column]:
+    """Content checksum of a group of shipments: its rows' hashes and its cost totals."""
+    hash_xor, hash_sum = bag_hash(row_hash(columns))
     return [
-        F.bit_xor(row_hash).alias("hash_xor"),
-        F.sum(F.shiftrightunsigned(row_hash, 40)).alias("hash_sum"),
+        hash_xor.alias("hash_xor"),
+        hash_sum.alias("hash_sum"),
         F.sum("estimated_cost").alias("estimated_total"),
         F.sum("actual_cost").alias("actual_total"),
     ]

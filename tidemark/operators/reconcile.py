@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.dates import Window, window_spine
-from tidemark.functions.fingerprint import CHECKSUM_COLUMNS
+from tidemark.functions.fingerprint import CHECKSUM_COLUMNS, bag_hash, row_hash
 from tidemark.schema import KEY_COLUMN, PARTITION_COLUMN, SHIPMENT_COLUMNS
 
 PASS = "PASS"
@@ -132,27 +132,49 @@ def failing_dates(report: DataFrame) -> DataFrame:
 
 
 def row_differences(source: DataFrame, sink: DataFrame) -> DataFrame:
-    """Rows of one side only, and rows whose values differ, by shipment id.
+    """Ids with rows on one side only, or with other rows on one side than on the other.
 
-    The join key is unique, so a date that holds most rows still spreads over all tasks.
+    Both sides are stacked and grouped by id, with fixed-size aggregates combined before the
+    shuffle. Unlike a join this stays linear when an id is stored many times over.
     Restrict both sides to the dates in question first.
     """
-    compared = [c for c in SHIPMENT_COLUMNS if c != KEY_COLUMN]
-    left = source.select(KEY_COLUMN, F.struct(*compared).alias("source_row"))
-    right = sink.select(KEY_COLUMN, F.struct(*compared).alias("sink_row"))
+    in_source = F.col("in_source")
+    stacked = (
+        source.select(*SHIPMENT_COLUMNS, F.lit(True).alias("in_source"))
+        .unionByName(sink.select(*SHIPMENT_COLUMNS, F.lit(False).alias("in_source")))
+        .withColumn("row_hash", row_hash())
+    )
+    aggregates = [F.max(PARTITION_COLUMN).alias(PARTITION_COLUMN)]
+    for side, member in (("source", in_source), ("sink", ~in_source)):
+        hash_xor, hash_sum = bag_hash(F.when(member, F.col("row_hash")))
+        aggregates += [
+            F.count_if(member).alias(f"rows_{side}"),
+            hash_xor.alias(f"xor_{side}"),
+            hash_sum.alias(f"sum_{side}"),
+            F.max(F.when(member, F.col("record_version"))).alias(f"version_{side}"),
+            F.max(F.when(member, F.col("actual_cost"))).alias(f"actual_cost_{side}"),
+        ]
+    same = (
+        (F.col("rows_source") == F.col("rows_sink"))
+        & F.col("xor_source").eqNullSafe(F.col("xor_sink"))
+        & F.col("sum_source").eqNullSafe(F.col("sum_sink"))
+    )
     return (
-        left.join(right, KEY_COLUMN, "full_outer")
-        .filter(~F.col("source_row").eqNullSafe(F.col("sink_row")))
+        stacked.groupBy(KEY_COLUMN)
+        .agg(*aggregates)
+        .filter(~same)
         .select(
             KEY_COLUMN,
-            F.coalesce(f"source_row.{PARTITION_COLUMN}", f"sink_row.{PARTITION_COLUMN}").alias(PARTITION_COLUMN),
-            F.when(F.col("sink_row").isNull(), "ONLY_IN_SOURCE")
-            .when(F.col("source_row").isNull(), "ONLY_IN_SINK")
+            PARTITION_COLUMN,
+            F.when(F.col("rows_sink") == 0, "ONLY_IN_SOURCE")
+            .when(F.col("rows_source") == 0, "ONLY_IN_SINK")
             .otherwise("CHANGED")
             .alias("difference"),
-            F.col("source_row.record_version").alias("version_source"),
-            F.col("sink_row.record_version").alias("version_sink"),
-            F.col("source_row.actual_cost").alias("actual_cost_source"),
-            F.col("sink_row.actual_cost").alias("actual_cost_sink"),
+            "rows_source",
+            "rows_sink",
+            "version_source",
+            "version_sink",
+            "actual_cost_source",
+            "actual_cost_sink",
         )
     )

@@ -1,8 +1,8 @@
 """What each ingestion strategy leaves in the sink after one more night.
 
-All five are judged from one full outer join of the sink as it was and the source as it is: a
-row's presence on either side, its date and whether it changed decide what every strategy does
-with it. The join key is unique, so no task gets more than its share.
+All strategies are judged in one pass: the sink as it was and the source as it is are stacked and
+grouped by id, and the row counts of an id inside and outside the window decide what every
+strategy does with it. Rows are combined before the shuffle, so repeated ids cost no more.
 """
 
 from __future__ import annotations
@@ -25,62 +25,59 @@ PARTITION_REPLACE = "partition_replace"
 def compare_strategies(old_sink: DataFrame, source: DataFrame, window: Window) -> DataFrame:
     """Rows written and the errors left behind, for each strategy.
 
-    duplicate_rows: rows beyond the first of an id. stale_rows: stored versions the source no
-    longer has. missing_rows: source rows with no stored row. surplus_rows: stored ids the source
-    has not.
+    duplicate_rows: rows beyond the first of an id. stale_rows: kept rows whose version the source
+    no longer has. missing_rows: source ids with no stored row. surplus_rows: kept rows whose id
+    the source has not.
     """
-    watermark = old_sink.agg(F.max(PARTITION_COLUMN)).scalar()
-    joined = (
-        old_sink.select(
-            KEY_COLUMN,
-            F.col(PARTITION_COLUMN).alias("old_date"),
-            F.col("record_version").alias("old_version"),
-        )
-        .join(
-            source.select(
-                KEY_COLUMN,
-                F.col(PARTITION_COLUMN).alias("new_date"),
-                F.col("record_version").alias("new_version"),
-            ),
-            KEY_COLUMN,
-            "full_outer",
-        )
-        .withColumns(
-            {
-                "in_old": F.col("old_date").isNotNull(),
-                "in_new": F.col("new_date").isNotNull(),
-                "old_in_window": F.coalesce(in_window(window, "old_date"), F.lit(False)),
-                "new_in_window": F.coalesce(in_window(window, "new_date"), F.lit(False)),
-                "new_past_mark": F.coalesce(
-                    F.col("new_date") > watermark, F.col("new_date").isNotNull()
-                ),
-                "outdated": ~F.col("old_version").eqNullSafe(F.col("new_version")),
-            }
+    # One value, taken before so that it reaches the aggregation as a literal.
+    watermark = old_sink.agg(F.max(PARTITION_COLUMN)).first()[0]
+    is_new, inside = F.col("is_new"), in_window(window)
+    past_mark = F.lit(True) if watermark is None else F.col(PARTITION_COLUMN) > F.lit(watermark)
+
+    def side(df: DataFrame, new: bool) -> DataFrame:
+        return df.select(KEY_COLUMN, PARTITION_COLUMN, "record_version", F.lit(new).alias("is_new"))
+
+    per_id = (
+        side(old_sink, False)
+        .unionByName(side(source, True))
+        .groupBy(KEY_COLUMN)
+        .agg(
+            F.count_if(~is_new).alias("old_all"),
+            F.count_if(~is_new & ~inside).alias("old_outside"),
+            F.count_if(is_new).alias("new_all"),
+            F.count_if(is_new & inside).alias("new_inside"),
+            F.count_if(is_new & past_mark).alias("new_past_mark"),
+            F.max(F.when(~is_new, F.col("record_version"))).alias("old_version"),
+            F.max(F.when(is_new, F.col("record_version"))).alias("new_version"),
         )
     )
-    in_old, in_new, outdated = F.col("in_old"), F.col("in_new"), F.col("outdated")
-    nothing, everything = F.lit(False), F.lit(True)
-    # Per strategy: which old rows stay, which source rows are written.
+    nothing = F.lit(0).cast("bigint")
+    # Per strategy: how many old rows of an id stay, how many source rows are written.
     strategies: dict[str, tuple[Column, Column]] = {
-        APPEND_ONLY: (everything, F.col("new_in_window")),
-        WATERMARK: (everything, F.col("new_past_mark")),
-        FULL_RELOAD: (nothing, everything),
-        DELETE_APPEND: (~F.col("old_in_window"), F.col("new_in_window")),
-        DELETE_APPEND_INTERRUPTED: (~F.col("old_in_window"), nothing),
-        PARTITION_REPLACE: (~F.col("old_in_window"), F.col("new_in_window")),
+        APPEND_ONLY: (F.col("old_all"), F.col("new_inside")),
+        WATERMARK: (F.col("old_all"), F.col("new_past_mark")),
+        FULL_RELOAD: (nothing, F.col("new_all")),
+        DELETE_APPEND: (F.col("old_outside"), F.col("new_inside")),
+        DELETE_APPEND_INTERRUPTED: (F.col("old_outside"), nothing),
+        PARTITION_REPLACE: (F.col("old_outside"), F.col("new_inside")),
     }
-    measures = []
-    for name, (kept, written) in strategies.items():
-        stays, arrives = in_old & kept, in_new & written
-        measures.append(
-            F.struct(
-                F.lit(name).alias("strategy"),
-                F.count_if(arrives).alias("rows_written"),
-                (F.count_if(stays) + F.count_if(arrives)).alias("rows_after"),
-                F.count_if(stays & arrives).alias("duplicate_rows"),
-                F.count_if(stays & in_new & outdated).alias("stale_rows"),
-                F.count_if(in_new & ~stays & ~arrives).alias("missing_rows"),
-                F.count_if(stays & ~in_new).alias("surplus_rows"),
-            )
+    at_source = F.col("new_all") > 0
+    outdated = at_source & (F.col("old_version") != F.col("new_version"))
+
+    def total(rows: Column, where: Column | None = None) -> Column:
+        counted = rows if where is None else F.when(where, rows)
+        return F.coalesce(F.sum(counted), nothing)
+
+    measures = [
+        F.struct(
+            F.lit(name).alias("strategy"),
+            total(written).alias("rows_written"),
+            total(kept + written).alias("rows_after"),
+            total(kept + written - 1, kept + written > 1).alias("duplicate_rows"),
+            total(kept, outdated).alias("stale_rows"),
+            F.count_if(at_source & (kept + written == 0)).alias("missing_rows"),
+            total(kept, ~at_source).alias("surplus_rows"),
         )
-    return joined.agg(F.array(*measures).alias("measures")).selectExpr("inline(measures)")
+        for name, (kept, written) in strategies.items()
+    ]
+    return per_id.agg(F.array(*measures).alias("measures")).selectExpr("inline(measures)")
