@@ -22,6 +22,10 @@ def spark(tmp_path_factory):
             "spark.driver.host": "127.0.0.1",
             "spark.sql.warehouse.dir": str(work / "warehouse"),
             "spark.checkpoint.dir": str(work / "shared"),
+            # One machine and small tables: write with all cores, list folders without a task each.
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+            "spark.sql.adaptive.coalescePartitions.minPartitionSize": "4k",
+            "spark.sql.sources.parallelPartitionDiscovery.parallelism": "8",
         },
     )
     session.sparkContext.setLogLevel("ERROR")

@@ -36,3 +36,11 @@ def checksum_aggregates(columns: Sequence[str] = SHIPMENT_COLUMNS) -> list[Colum
 
 
 CHECKSUM_COLUMNS = ("hash_xor", "hash_sum", "estimated_total", "actual_total")
+
+
+def combined_checksums() -> list[Column]:
+    """The checksum of a group from the checksums of its parts."""
+    return [
+        F.bit_xor("hash_xor").alias("hash_xor"),
+        *[F.sum(name).alias(name) for name in CHECKSUM_COLUMNS[1:]],
+    ]

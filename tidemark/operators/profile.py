@@ -8,24 +8,37 @@ from __future__ import annotations
 
 from datetime import date, timedelta
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.bands import BANDS, PENDING_STATUS, PENDING_VERSION, by_band
 from tidemark.functions.dates import Window, in_window
-from tidemark.functions.fingerprint import checksum_aggregates
+from tidemark.functions.fingerprint import checksum_aggregates, combined_checksums
+
+
+def _date_groups(df: DataFrame, *more: Column) -> DataFrame:
+    """A few groups per date, one for each status, from which a status can be picked.
+
+    The minimum of a string over the rows themselves would make Spark sort them all.
+    """
+    return df.groupBy("shipment_date", "settlement_status").agg(
+        F.count("*").alias("row_count"),
+        F.min("record_version").alias("min_version"),
+        F.max("record_version").alias("max_version"),
+        *more,
+    )
 
 
 def per_date_profile(df: DataFrame, window: Window, checksums: bool = False) -> DataFrame:
     """Rows, newest version and a witness status of each date in the window."""
+    groups = _date_groups(df.filter(in_window(window)), *(checksum_aggregates() if checksums else []))
     return (
-        df.filter(in_window(window))
-        .groupBy("shipment_date")
+        groups.groupBy("shipment_date")
         .agg(
-            F.count("*").alias("row_count"),
-            F.max("record_version").alias("max_version"),
+            F.sum("row_count").alias("row_count"),
+            F.max("max_version").alias("max_version"),
             F.min("settlement_status").alias("settlement_status"),
-            *(checksum_aggregates() if checksums else []),
+            *(combined_checksums() if checksums else []),
         )
         .withColumn("shipment_date", F.col("shipment_date").cast("string"))
     )
@@ -77,11 +90,12 @@ def carrier_profile(df: DataFrame) -> DataFrame:
 def recent_dates(df: DataFrame, dates: int = 10) -> DataFrame:
     """The latest dates with their rows, version range and a witness status."""
     return (
-        df.groupBy("shipment_date")
+        _date_groups(df)
+        .groupBy("shipment_date")
         .agg(
-            F.count("*").alias("row_count"),
-            F.min("record_version").alias("min_version"),
-            F.max("record_version").alias("max_version"),
+            F.sum("row_count").alias("row_count"),
+            F.min("min_version").alias("min_version"),
+            F.max("max_version").alias("max_version"),
             F.min("settlement_status").alias("settlement_status"),
         )
         .orderBy(F.desc("shipment_date"))

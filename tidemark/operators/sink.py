@@ -63,7 +63,9 @@ class StagedDates:
 
 def append(df: DataFrame, table: str, clustered: bool = False) -> None:
     """Add rows; nothing that is stored changes."""
-    _laid_out(align(df), clustered).select(*STORED_COLUMNS).write.insertInto(table)
+    # insertInto goes by position, so the table's own order decides.
+    columns = df.sparkSession.table(table).columns
+    _laid_out(align(df), clustered).select(*columns).write.insertInto(table)
 
 
 def stage(df: DataFrame, folder: str, clustered: bool = False) -> StagedDates:
@@ -176,9 +178,11 @@ def _delete_replaced(spark: SparkSession, table: str, staged: StagedDates, dates
         if folder == staged.folder:
             continue
         present = set(_HadoopPath(spark, folder).children())
-        for name in names & present:
+        replaced = names & present
+        for name in replaced:
             _HadoopPath(spark, f"{folder}/{name}").delete()
-        if folder != location and not any(n.startswith(_DATE_PREFIX) for n in present - names):
+        emptied = replaced and not any(n.startswith(_DATE_PREFIX) for n in present - names)
+        if emptied and folder != location:
             _HadoopPath(spark, folder).delete()
 
 
