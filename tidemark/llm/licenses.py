@@ -11,7 +11,6 @@ import re
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
-import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
@@ -85,6 +84,13 @@ class Match:
 class Scanner:
     def __init__(self, notices: Iterable[tuple[str, str]] = tuple(NOTICES.items())):
         self.notices = [notice(text, label) for text, label in notices]
+        users: dict[bytes, list[tuple[Notice, int]]] = {}
+        for n in self.notices:
+            offset = 0
+            for seed in n.seeds:
+                users.setdefault(seed, []).append((n, offset))
+                offset += len(seed)
+        self.seeds = list(users.items())
         self.phrases = [(re.compile(rb"(?<= )" + p.encode() + rb"(?= )"), label) for p, label in PHRASES.items()]
 
     @staticmethod
@@ -103,17 +109,18 @@ class Scanner:
     def fuzzy(self, flat: bytes) -> list[Match]:
         """Places of notices with bounded edits, the best one where they overlap."""
         found = []
-        for n in self.notices:
-            windows: list[list[int]] = []
-            for offset, seed in zip(np.cumsum([0] + [len(s) for s in n.seeds[:-1]]).tolist(), n.seeds):
-                at = flat.find(seed)
-                while at >= 0:
+        windows: dict[Notice, list[list[int]]] = {}
+        for seed, users in self.seeds:
+            at = flat.find(seed)
+            while at >= 0:
+                for n, offset in users:
                     start = max(0, at - offset - n.edits)
-                    windows.append([start, at - offset + len(n.text) + 2 * n.edits])
-                    at = flat.find(seed, at + 1)
-            windows.sort()
+                    windows.setdefault(n, []).append([start, at - offset + len(n.text) + 2 * n.edits])
+                at = flat.find(seed, at + 1)
+        for n, spans in windows.items():
+            spans.sort()
             merged: list[list[int]] = []
-            for w in windows:
+            for w in spans:
                 if merged and w[0] <= merged[-1][1]:
                     merged[-1][1] = max(w[1], merged[-1][1])
                 else:
