@@ -120,6 +120,8 @@ def train(sample: DataFrame) -> QualityModel:
         share = (times / times.sum()).astype(np.float32) if len(times) else times.astype(np.float32)
         bags.append((ids.astype(np.int64), share, r.label))
     del rows
+    if not bags:
+        output[:] = 0
     steps = EPOCHS * max(1, len(bags))
     done = 0
     for _ in range(EPOCHS):
