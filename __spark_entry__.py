@@ -37,6 +37,19 @@ from tidemark.sources.jdbc import profile_query
 from tidemark.sources.orders import base_shipments as base_of, read_orders
 from tidemark.sources.tables import scan_date, scan_window, shipments
 
+try:
+    import corpus_pipeline
+    from tidemark.llm.queries import QUERIES as LLM_QUERIES
+    from tidemark.llm.sql import ORACLE_SQL as LLM_SQL
+except ModuleNotFoundError as missing:
+    # The subpackage may be left out; whatever else it misses is an error.
+    if not (missing.name or "").startswith(("corpus_pipeline", "tidemark.llm")):
+        raise
+    LLM_QUERIES, LLM_SQL = {}, {}
+else:
+    LLM_QUERIES = LLM_QUERIES | {"pipeline": corpus_pipeline.run}
+    LLM_SQL = LLM_SQL | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})
+
 # The day after the newest order date, at every scale factor.
 AS_OF = date(2001, 8, 2)
 WINDOW = lookback_window(AS_OF)
@@ -416,7 +429,8 @@ def entry(spark: SparkSession) -> DataFrame:
     return reconcile_report(spark, "/root/testdata/sf0.001")
 
 
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+def table_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    """Queries of the settling-table operators."""
     registered = [
         base_shipments,
         settled_snapshot,
@@ -469,5 +483,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {query.__name__: query for query in registered}
 
 
+def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return table_queries() | LLM_QUERIES
+
+
 def oracle_sql() -> dict[str, str]:
-    return dict(ORACLE_SQL)
+    return ORACLE_SQL | LLM_SQL
