@@ -46,8 +46,8 @@ EMBEDDING_DEDUP = """
 WITH RECURSIVE usable AS (
     SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings
     WHERE label IS NOT NULL AND len(embedding) > 0
-      AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
-      AND len(list_filter(embedding, x -> x <> 0)) > 0
+      AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+      AND len([x FOR x IN embedding IF x <> 0]) > 0
 ), links AS (
     SELECT a.vec_id AS a, b.vec_id AS b FROM usable a
     JOIN usable b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
@@ -66,7 +66,7 @@ WITH RECURSIVE words AS (
     SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}\p{Mn}\p{Mc}]+') AS w FROM documents
 ), shingles AS (
     SELECT DISTINCT doc_id, unnest(CASE
-        WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3), i -> array_to_string(w[i : i + 4], ' '))
+        WHEN len(w) >= 5 THEN [array_to_string(w[i : i + 4], ' ') FOR i IN range(1, len(w) - 3)]
         WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS s
     FROM words
 ), sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
