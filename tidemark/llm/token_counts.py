@@ -30,8 +30,8 @@ PIECES = regex.compile(
 )
 # End of fixed value.
 
-#: Pieces and token pairs remembered by a task.
-KEPT_PIECES, KEPT_PAIRS = 250_000, 250_000
+#: Pieces, twice so many, and token pairs remembered by a task.
+KEPT_PIECES, KEPT_PAIRS = 300_000, 250_000
 #: Texts of these characters alone are split here; the tokenizer itself splits the others, so that its
 #: tables of letters and spaces hold.
 _PLAIN = regex.compile(r"[\t\n\r -~¡-ɏ‐-‧€]*")
@@ -68,6 +68,7 @@ class PrefixCounter:
         self.left: dict[bytes, list] = {}
         self.pairs: dict[tuple[bytes, bytes], bool] = {}
         self.pieces: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def _spine(self, token: bytes, side: int) -> list[tuple[bytes, float]]:
         """The parts that lie at one end of a token while it is merged, and the rank at which each ends."""
@@ -125,6 +126,13 @@ class PrefixCounter:
 
     def _piece(self, piece: str) -> bytes:
         """Counts at the character prefixes of a piece, as 32-bit integers."""
+        if len(self.pieces) >= KEPT_PIECES:
+            # Pieces that are still used come back from the older half.
+            self.older, self.pieces = self.pieces, {}
+        known = self.older.get(piece)
+        if known is not None:
+            self.pieces[piece] = known
+            return known
         data = piece.encode("utf-8", "surrogatepass")
         counts = self.byte_prefixes(data)
         if len(data) == len(piece):
@@ -138,8 +146,6 @@ class PrefixCounter:
         if piece in _CONTRACTIONS:
             # Cut short, the apostrophe and its letter are two pieces.
             found[1] = 2
-        if len(self.pieces) >= KEPT_PIECES:
-            self.pieces.clear()
         known = self.pieces[piece] = array("i", found).tobytes()
         return known
 
