@@ -74,7 +74,7 @@ def pairs_of(table: pa.Table, starts: np.ndarray) -> Iterator[tuple[np.ndarray,
     In a group of two blocks only pairs of different blocks count.
     """
     n = table.num_rows
-    ends = np.repeat(starts[1:], np.diff(starts)) if starts[-1] == n else np.repeat(np.append(starts[1:], n), np.diff(np.append(starts, n)))
+    ends = np.repeat(starts[1:], np.diff(starts))
     rest = ends - np.arange(n) - 1
     one_block = table["low"].to_numpy() == table["high"].to_numpy()
     side = table["side"].to_numpy()
@@ -157,11 +157,13 @@ def connected_components(edges: DataFrame) -> DataFrame:
     while before[0]:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         lowest = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = both.join(lowest, "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
-        lowest = large.groupBy("a").agg(F.min("b").alias("m"))
-        handed = large.join(lowest, "a")
-        small = handed.filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        edges = checkpointed(small.unionByName(lowest.select("a", F.col("m").alias("b"))).distinct())
+        # Minima are stored before they are joined: only then can the join split a node with many neighbours.
+        larger = both.filter("b > a").join(checkpointed(lowest), "a")
+        large = checkpointed(larger.select(F.col("b").alias("a"), F.col("m").alias("b")).distinct())
+        lowest = checkpointed(large.groupBy("a").agg(F.min("b").alias("m")))
+        smaller = large.join(lowest, "a").filter("b <> m")
+        handed = smaller.select(F.col("b").alias("a"), F.col("m").alias("b"))
+        edges = checkpointed(handed.unionByName(lowest.select("a", F.col("m").alias("b"))).distinct())
         after = mark(edges)
         if after == before:
             break
