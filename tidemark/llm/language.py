@@ -70,7 +70,8 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def handed():
         for lang, (grams, times) in held.items():
             yield pa.RecordBatch.from_arrays(
-                [pa.array([lang] * len(grams)), pa.array(grams), pa.array(times)], ["lang", "gram", "n"]
+                [pa.array([lang] * len(grams), pa.string()), pa.array(grams, pa.int64()), pa.array(times, pa.int64())],
+                ["lang", "gram", "n"],
             )
         held.clear()
 

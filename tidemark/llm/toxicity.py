@@ -65,7 +65,7 @@ CONFIDENCE = 3.2
 CANDIDATES = 20_000
 LEXICON_SIZE = 5000
 SKETCH = 24
-LEAST_BOUND = 0.45
+LEAST_BOUND = 0.3
 THRESHOLD = 0.3
 #: Score of a text without a word of the lexicon.
 BASE_SCORE = 0.02
@@ -75,7 +75,9 @@ _STRETCHED = re.compile(r"(.)\1\1")
 _DOUBLED = re.compile(r"(.)\1")
 _LOOKS = "".join(map(re.escape, LOOKALIKES))
 _DISGUISED = re.compile(rf"[^\W\d_][{_LOOKS}.\-_*~,/\\']+[^\W\d_]|[{_LOOKS}][^\W\d_]|[^\W\d_][{_LOOKS}]")
-_EDGES = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum() and chr(c) not in "@$!|+(")
+#: Look-alikes that are punctuation at the end of a word.
+_MARKS = "@$!|+("
+_EDGES = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum() and chr(c) not in _MARKS)
 
 
 @lru_cache(maxsize=1)
@@ -192,16 +194,17 @@ class Restorer:
         for token in set(text.split()):
             if not token.isalpha():
                 bare = token.strip(_EDGES)
-                token = bare.strip("@$!|+(")
+                token = bare.strip(_MARKS)
+                # A mark at either end may be a letter or punctuation.
+                forms = {bare, bare.rstrip(_MARKS), bare.lstrip(_MARKS), token}
                 if not token.isalpha():
-                    if bare and _DISGUISED.search(bare):
-                        read.update(self._read(bare))
-                        if bare != token and token and _DISGUISED.search(token):
-                            read.update(self._read(token))
+                    for form in forms:
+                        if form and _DISGUISED.search(form):
+                            read.update(self._read(form))
                     plain.update(re.findall(r"[^\W\d_]+", token))
                     continue
-                if bare != token:
-                    read.update(self._read(bare))
+                for form in forms - {token}:
+                    read.update(self._read(form))
             plain.add(token)
             if _STRETCHED.search(token) or len(_DOUBLED.findall(token)) > 2:
                 read.update(self._read(token))
@@ -221,7 +224,7 @@ def features(words: set[str]) -> set[str]:
 @dataclass
 class ToxicityModel:
     characters: np.ndarray
-    #: Lower bound of the share of toxic documents among those with the feature.
+    #: Weight of a feature: the share of toxic documents among those with it, times the share's lower bound.
     lexicon: dict[str, float]
     base_rate: float
 
@@ -326,9 +329,11 @@ def train(documents: DataFrame, sample: DataFrame) -> ToxicityModel:
         groups = _near_copies(np.array([r.sketch for r in toxic], dtype=np.int64))
         distinct = Counter(f for f, _ in {(f, g) for r, g in zip(toxic, groups.tolist()) for f in r.features})
         for name, times in distinct.items():
-            bound = float(_lower_bound(times / (times + candidates[name]), times + candidates[name]))
+            share = times / (times + candidates[name])
+            bound = float(_lower_bound(share, times + candidates[name]))
             if times >= LEAST_DOCUMENTS and bound >= LEAST_BOUND:
-                lexicon[name] = bound
+                # A word that clean documents use as well needs company.
+                lexicon[name] = bound * share
         # A prefix that stands for one whole word only says nothing about other words.
         for word in [w for w in lexicon if not w.endswith("*")]:
             for n in PREFIXES:
@@ -345,12 +350,12 @@ class Scorer:
         self.base = model.base_rate
         # Stretching also hides which letters were double, so restored words are compared without doubles too.
         self.squeezed: dict[str, float] = {}
-        for name, bound in model.lexicon.items():
+        for name, weight in model.lexicon.items():
             short = _DOUBLED.sub(r"\1", name)
-            self.squeezed[short] = max(bound, self.squeezed.get(short, 0.0))
+            self.squeezed[short] = max(weight, self.squeezed.get(short, 0.0))
         self.lengths = sorted({len(x) - 1 for x in model.lexicon if x.endswith("*")})
 
-    def _bound(self, word: str, lexicon: dict[str, float]) -> float:
+    def _weight(self, word: str, lexicon: dict[str, float]) -> float:
         best = lexicon.get(word, 0.0)
         for n in self.lengths:
             if len(word) > n:
@@ -366,17 +371,16 @@ class Scorer:
         for n in self.lengths:
             hits.update(w for w in plain if w[:n] + "*" in lexicon)
         for word in hits:
-            found[word] = self._bound(word, lexicon)
+            found[word] = self._weight(word, lexicon)
         for word in read:
-            bound = max(self._bound(word, lexicon), self._bound(_DOUBLED.sub(r"\1", word), self.squeezed))
-            if bound:
-                found[word] = max(bound, found.get(word, 0.0))
+            weight = max(self._weight(word, lexicon), self._weight(_DOUBLED.sub(r"\1", word), self.squeezed))
+            if weight:
+                found[word] = max(weight, found.get(word, 0.0))
         order = sorted(found, key=lambda w: (-found[w], w))
         if not order:
             return self.base, []
-        first, second = found[order[0]], found[order[1]] if len(order) > 1 else 0.0
-        # Further words raise the score within what the first leaves open.
-        return min(1.0, first + (1 - first) * (0.25 * second + 0.1 * (1 - math.exp(-len(order) / 10)))), order[:5]
+        # Each word leaves a doubt; together they leave the product.
+        return 1 - math.prod(1 - found[w] for w in order), order[:5]
 
 
 def score(documents: DataFrame, model: ToxicityModel) -> DataFrame:
