@@ -31,6 +31,7 @@ from tidemark.plans.rebuild import (
     repair,
 )
 from tidemark.plans.strategies import compare_strategies
+from tidemark.plans.validate import validation
 from tidemark.schema import KEY_COLUMN, PARTITION_COLUMN, create_table
 from tidemark.session import scratch_path
 from tidemark.sources.jdbc import profile_query
@@ -192,15 +193,19 @@ def nightly_arrivals(spark, sf_dir):
     return arrivals_of(_base(spark, sf_dir), AS_OF)
 
 
+def nightly_arrivals_capped(spark, sf_dir):
+    return arrivals_of(_base(spark, sf_dir), AS_OF, rows=1)
+
+
 def arrival_delta(spark, sf_dir):
-    """The night's arrivals appended to a table: rows before, after and new."""
+    """The night's arrivals appended to a table: rows counted before and after, and the difference."""
     table = _new_table(spark, "arrivals", _history(spark, sf_dir))
+    before = shipments(spark, table).count()
     append(arrivals_of(shipments(spark, table), AS_OF), table)
-    tomorrow = F.col("shipment_date") == F.lit(AS_OF + timedelta(days=1))
     return spark.table(table).agg(
-        F.count_if(~tomorrow).alias("rows_before"),
+        F.lit(before).cast("bigint").alias("rows_before"),
         F.count("*").alias("rows_after"),
-        F.count_if(tomorrow).alias("new_rows"),
+        (F.count("*") - F.lit(before)).alias("new_rows"),
         F.max("shipment_date").alias("newest_date"),
     )
 
@@ -343,8 +348,15 @@ def advance_boundary(spark, sf_dir):
     return shipments(spark, table)
 
 
+def advance_boundary_moved(spark, sf_dir):
+    """How many dates and rows the boundary step moves, as the step itself counts them."""
+    table = _new_table(spark, "moved", _history(spark, sf_dir, 1))
+    moved = update_rows(spark, table, crosses_boundary(AS_OF), band_assignments(BANDS[1]))
+    return spark.createDataFrame([(len(moved), sum(moved.values()))], "dates_moved bigint, rows_moved bigint")
+
+
 def boundary_preview(spark, sf_dir):
-    """Rows the boundary moves, without a table: version counts before the night and after."""
+    """The table after the boundary step, without writing one: its version counts."""
     return pf.version_counts(advanced(_settled(spark, sf_dir, 1), AS_OF))
 
 
@@ -424,6 +436,29 @@ def strategy_comparison(spark, sf_dir):
     return compare_strategies(old_sink, settle(base, AS_OF), WINDOW)
 
 
+def strategy_comparison_repeated(spark, sf_dir):
+    """The same over order lines, whose ids and versions repeat, with old versions of late dates changed."""
+    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(
+        F.col("l_orderkey").alias("shipment_id"),
+        F.col("l_shipdate").cast("date").alias("shipment_date"),
+        (1 + F.col("l_linenumber") % 4).cast("int").alias("record_version"),
+    )
+    changed = F.when(F.col("shipment_date") >= "2001-06-20", 1 + F.col("record_version") % 4)
+    old = lines.filter(F.col("shipment_id") % 7 != 0).withColumn(
+        "record_version", changed.otherwise(F.col("record_version")).cast("int")
+    )
+    return compare_strategies(old, lines, WINDOW)
+
+
+def validation_widened(spark, sf_dir):
+    """A rebuild that makes up for ten missed nights, validated over its seventy dates."""
+    source = _settled(spark, sf_dir)
+    table = _new_table(spark, "widened", _history(spark, sf_dir, 11))
+    rebuild(source, table, AS_OF, missed_nights=10)
+    with validation(source, shipments(spark, table), AS_OF, missed_nights=10) as check:
+        return check.report.select("shipment_date", "validation_result", "row_count_source", "row_count_sink")
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """The reconciliation report at the smallest scale."""
     return reconcile_report(spark, "/root/testdata/sf0.001")
@@ -444,6 +479,7 @@ def table_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         expand_profile,
         expand_resumed,
         nightly_arrivals,
+        nightly_arrivals_capped,
         arrival_delta,
         table_overview,
         status_breakdown,
@@ -469,6 +505,7 @@ def table_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         append_insert,
         update_in_place,
         advance_boundary,
+        advance_boundary_moved,
         boundary_preview,
         rebuild_window,
         rebuild_missed_night,
@@ -479,6 +516,8 @@ def table_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         repair_cycle,
         frozen_guard,
         strategy_comparison,
+        strategy_comparison_repeated,
+        validation_widened,
     ]
     return {query.__name__: query for query in registered}
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+# Fixed values throughout: names and letters of columns, regions, carriers, statuses and payloads.
 AS_OF = "DATE '2001-08-02'"
 IN_WINDOW = "shipment_date BETWEEN DATE '2001-06-03' AND DATE '2001-08-01'"
 COLUMNS = (
@@ -26,6 +27,13 @@ BASE = """base AS (
   FROM orders)"""
 
 
+# Shipments with repeated ids, and repeated versions of an id.
+LINES = """lines AS (
+  SELECT l_orderkey AS shipment_id, CAST(l_shipdate AS DATE) AS shipment_date,
+         CAST(1 + l_linenumber % 4 AS INTEGER) AS record_version
+  FROM lineitem)"""
+
+
 def settled(name: str, nights_ago: int = 0, source: str = "base") -> str:
     """A CTE with the rows as they stood some nights before the processing date."""
     age = f"(({AS_OF} - {nights_ago}) - shipment_date)"
@@ -118,18 +126,18 @@ def copies(first: int, last: int) -> str:
 
 
 ARRIVALS = f"""arrivals AS (
-  SELECT shipment_id + 900000000 AS shipment_id, CAST({AS_OF} + 1 AS DATE) AS shipment_date,
+  SELECT shipment_id + greatest(900000000, (SELECT max(shipment_id) + 1 FROM base)) AS shipment_id, CAST({AS_OF} + 1 AS DATE) AS shipment_date,
          CAST(1 AS INTEGER) AS record_version, 'Pending' AS settlement_status,
          carrier_code, origin_region, destination_region, estimated_cost,
          CAST(NULL AS DECIMAL(18,2)) AS actual_cost, weight_lbs,
          concat('SHIPMENT-NIGHTLY-NEW-', CAST(shipment_id % 10000 AS VARCHAR)) AS payload
   FROM base
   WHERE shipment_date = (SELECT max(shipment_date) FROM base WHERE shipment_date <= {AS_OF})
-  ORDER BY shipment_id LIMIT 50000)"""
+  ORDER BY shipment_id)"""
 
 DIFFERENCES = """differences AS (
   SELECT coalesce(a.shipment_id, b.shipment_id) AS shipment_id,
-         coalesce(a.shipment_date, b.shipment_date) AS shipment_date,
+         a.shipment_date AS date_source, b.shipment_date AS date_sink,
          CASE WHEN b.shipment_id IS NULL THEN 'ONLY_IN_SOURCE'
               WHEN a.shipment_id IS NULL THEN 'ONLY_IN_SINK' ELSE 'CHANGED' END AS difference,
          CAST(CASE WHEN a.shipment_id IS NULL THEN 0 ELSE 1 END AS BIGINT) AS rows_source,
@@ -159,9 +167,9 @@ def strategy(name: str, kept: str, written: str) -> str:
   (SELECT count(*) - count(DISTINCT shipment_id) FROM (
      SELECT shipment_id FROM old_rows WHERE {kept}
      UNION ALL SELECT shipment_id FROM now_rows WHERE {written})) AS duplicate_rows,
-  (SELECT count(*) FROM (SELECT * FROM old_rows WHERE {kept}) o JOIN now_rows n
-     ON o.shipment_id = n.shipment_id AND o.record_version <> n.record_version) AS stale_rows,
-  (SELECT count(*) FROM now_rows WHERE shipment_id NOT IN (
+  (SELECT count(*) FROM old_rows WHERE ({kept}) AND shipment_id IN (SELECT shipment_id FROM now_rows)
+     AND (shipment_id, record_version) NOT IN (SELECT (shipment_id, record_version) FROM now_rows)) AS stale_rows,
+  (SELECT count(DISTINCT shipment_id) FROM now_rows WHERE shipment_id NOT IN (
      SELECT shipment_id FROM old_rows WHERE {kept}
      UNION ALL SELECT shipment_id FROM now_rows WHERE {written})) AS missing_rows,
   (SELECT count(*) FROM old_rows WHERE ({kept})
@@ -216,6 +224,9 @@ ORACLE_SQL = {
         BASE, f"all_rows AS (SELECT {COLUMNS} FROM base UNION ALL {copies(1, 20)})", OVERVIEW + "all_rows"
     ),
     "nightly_arrivals": with_ctes(BASE, ARRIVALS, f"SELECT {COLUMNS} FROM arrivals"),
+    "nightly_arrivals_capped": with_ctes(
+        BASE, ARRIVALS, f"SELECT {COLUMNS} FROM arrivals ORDER BY shipment_id LIMIT 1"
+    ),
     "arrival_delta": with_ctes(
         BASE,
         ARRIVALS,
@@ -313,7 +324,7 @@ FROM spine LEFT JOIN report ON report.shipment_date = CAST(d AS VARCHAR)"""
         DIFFERENCES,
         """SELECT r.shipment_date, row_count_source, row_count_sink, row_diff,
        CASE WHEN validation_result = 'PASS' AND EXISTS (
-              SELECT 1 FROM differences d WHERE CAST(d.shipment_date AS VARCHAR) = r.shipment_date)
+              SELECT 1 FROM differences d WHERE CAST(coalesce(d.date_source, d.date_sink) AS VARCHAR) = r.shipment_date)
             THEN 'STALE' ELSE validation_result END AS validation_result,
        max_version_source, max_version_sink, status_source, status_sink FROM report r""",
     ),
@@ -327,6 +338,11 @@ FROM spine LEFT JOIN report ON report.shipment_date = CAST(d AS VARCHAR)"""
     "append_insert": with_ctes(BASE, NOW, f"SELECT {COLUMNS} FROM now_rows"),
     "update_in_place": with_ctes(BASE, NOW, f"SELECT {COLUMNS} FROM now_rows"),
     "advance_boundary": with_ctes(BASE, NOW, OLD_1, rebuilt(f"shipment_date = {AS_OF} - 31")),
+    "advance_boundary_moved": with_ctes(
+        BASE,
+        f"SELECT count(DISTINCT shipment_date) AS dates_moved, count(*) AS rows_moved "
+        f"FROM base WHERE shipment_date = {AS_OF} - 31",
+    ),
     "boundary_preview": with_ctes(
         BASE, NOW, OLD_1, f"moved AS ({rebuilt(f'shipment_date = {AS_OF} - 31')})", VERSION_COUNTS + "moved"
     ),
@@ -374,6 +390,20 @@ FROM spine LEFT JOIN base ON shipment_date = d GROUP BY d""",
         "SELECT count(DISTINCT shipment_date) AS frozen_dates, count(*) AS frozen_rows, "
         f"CAST(0 AS BIGINT) AS changed_dates FROM base WHERE shipment_date < {AS_OF} - 60",
     ),
+    "validation_widened": with_ctes(
+        BASE,
+        NOW,
+        f"""SELECT CAST(shipment_date AS VARCHAR) AS shipment_date, 'PASS' AS validation_result,
+       count(*) AS row_count_source, count(*) AS row_count_sink
+FROM now_rows WHERE shipment_date BETWEEN {AS_OF} - 70 AND {AS_OF} - 1 GROUP BY 1""",
+    ),
+    "strategy_comparison_repeated": with_ctes(
+        LINES,
+        "now_rows AS (SELECT * FROM lines)",
+        "old_rows AS (SELECT * REPLACE (CAST(CASE WHEN shipment_date >= DATE '2001-06-20' THEN 1 + record_version % 4 "
+        "ELSE record_version END AS INTEGER) AS record_version) FROM lines WHERE shipment_id % 7 <> 0)",
+        STRATEGIES,
+    ),
     "strategy_comparison": with_ctes(
         BASE,
         NOW,

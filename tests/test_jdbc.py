@@ -1,6 +1,7 @@
 """The texts sent to a relational source. No database is started: the texts themselves are run."""
 
 import duckdb
+from pyspark.sql import functions as F
 
 from fixtures_small import TODAY, at_age, by_age
 from tidemark.functions.dates import lookback_window
@@ -52,3 +53,11 @@ def test_rows_outside_the_measured_range_are_still_read(spark):
 
 def test_many_rows_on_one_id():
     assert date_predicates([at_age(1)], {at_age(1): (10**9, 7, 7)}) == ["shipment_date = '2024-03-14'"]
+
+
+def test_rows_without_id_are_read_whole_or_cut(spark):
+    frame = by_age(spark, {1: 10})
+    frame = frame.unionByName(frame.limit(1).withColumn("shipment_id", F.lit(None).cast("bigint")))
+    predicates = date_predicates([at_age(1)], {at_age(1): (10, 1, 10)}, rows_per_reader=4)
+    assert len(predicates) == 3
+    assert sum(frame.filter(p).count() for p in predicates) == frame.count() == 11

@@ -117,3 +117,28 @@ def test_row_differences_stay_linear_for_a_repeated_id(spark):
     assert rc.row_differences(repeated, repeated).count() == 0
     found = rc.row_differences(repeated, repeated.limit(49_999)).collect()
     assert [(r.difference, r.rows_source, r.rows_sink) for r in found] == [("CHANGED", 50_000, 49_999)]
+
+
+def test_row_differences_show_both_dates(spark):
+    source = settle(by_age(spark, {1: 1}), TODAY)
+    sink = source.withColumn("shipment_date", F.lit(at_age(2)))
+    found = rc.row_differences(source, sink).first()
+    assert (found.date_source, found.date_sink, found.difference) == (at_age(1), at_age(2), "CHANGED")
+
+
+def test_reports_join_nothing(spark):
+    frame = settle(by_age(spark, {1: 2, 5: 1}), TODAY)
+    for deep in (False, True):
+        plan = compare(frame, frame, deep=deep)._jdf.queryExecution().executedPlan().toString()
+        assert "Join" not in plan
+
+
+def test_a_widened_window_is_validated_and_shown_whole(spark, capsys):
+    source = settle(by_age(spark, {age: 1 for age in range(1, 71)}), TODAY)
+    sink = source.filter(F.col("shipment_date") != F.lit(at_age(65)))
+    with validation(source, sink, TODAY) as check:
+        assert check.report.count() == 60 and check.verdict.first().verdict == "ALL_PASSED"
+    with validation(source, sink, TODAY, missed_nights=10) as check:
+        assert check.report.count() == 70 and check.verdict.first().verdict == "MISSING_DATES"
+        check.show()
+    assert capsys.readouterr().out.count("MISSING_IN_SINK") == 2

@@ -22,6 +22,8 @@ SLOW = {
     "append_insert",
     "update_in_place",
     "advance_boundary",
+    "advance_boundary_moved",
+    "validation_widened",
     "rebuild_window",
     "rebuild_missed_night",
     "rebuild_one_date",

@@ -116,3 +116,19 @@ def test_dense_ids_with_a_hot_leading_value(spark):
 def test_dense_ids_of_nothing(spark):
     frame = spark.createDataFrame([], "shipment_id bigint")
     assert dense_ids(frame, "shipment_id").count() == 0
+
+
+@pytest.mark.parametrize("rows, nulls", [(40, 0), (400, 350), (2_000, 1_000)])
+def test_smallest_ids_take_null_keys_last(spark, rows, nulls):
+    frame = spark.createDataFrame([(i,) for i in range(50)] + [(None,)] * 1_000, "shipment_id bigint")
+    found = [r[0] for r in smallest_ids(frame, rows).collect()]
+    assert len(found) == min(rows, 1_050)
+    assert [i for i in found if i is not None] == list(range(min(rows, 50))) and found.count(None) == nulls
+
+
+def test_arrivals_take_all_rows_and_ids_of_their_own(spark):
+    known = by_age(spark, {1: 4, 2: 3}).withColumn("shipment_id", F.col("shipment_id") + 900_000_000)
+    new = nightly_arrivals(known, TODAY)
+    assert new.count() == 4
+    assert new.join(known, "shipment_id").count() == 0
+    assert new.select("shipment_id").distinct().count() == 4

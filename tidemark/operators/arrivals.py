@@ -11,8 +11,7 @@ from tidemark.functions.bands import PENDING_STATUS, PENDING_VERSION
 from tidemark.operators.profile import seed_date
 from tidemark.schema import SHIPMENT_COLUMNS
 
-# Most rows per night and the distance of their ids.
-ARRIVAL_ROWS = 50_000
+# Fixed value: the least distance of their ids.
 ARRIVAL_ID_OFFSET = 900_000_000
 
 _BINS = 4096
@@ -21,17 +20,23 @@ _BINS = 4096
 def nightly_arrivals(
     df: DataFrame,
     as_of: date,
-    rows: int = ARRIVAL_ROWS,
-    id_offset: int = ARRIVAL_ID_OFFSET,
+    rows: int | None = None,
+    id_offset: int | None = None,
 ) -> DataFrame:
-    """Up to ``rows`` copies of the latest day's rows, dated the day after ``as_of``.
+    """Copies of all rows of the latest day, dated the day after ``as_of``.
 
-    The rows with the smallest ids are taken, so that a re-run gives the same arrivals. Rows
-    dated after ``as_of`` never seed, so arrivals do not breed arrivals.
+    ``rows`` caps their number; those with the smallest ids are taken then, so that a re-run gives the
+    same arrivals. Ids move by ``id_offset``, by default ARRIVAL_ID_OFFSET or, where ids up to the
+    seed date reach beyond it, one more than the largest of them. Rows dated after ``as_of`` never
+    seed, so arrivals do not breed arrivals.
     """
     # A literal date, unlike a subquery, prunes partitions and row groups.
     latest = seed_date(df, as_of).first()[0]
-    seeds = smallest_ids(df.filter(F.col("shipment_date") == F.lit(latest)), rows)
+    if id_offset is None:
+        largest = df.filter(F.col("shipment_date") <= F.lit(as_of)).agg(F.max("shipment_id")).first()[0] or 0
+        id_offset = max(ARRIVAL_ID_OFFSET, largest + 1)
+    seeds = df.filter(F.col("shipment_date") == F.lit(latest))
+    seeds = seeds if rows is None else smallest_ids(seeds, rows)
     arrived = {
         "shipment_id": F.col("shipment_id") + F.lit(id_offset).cast("bigint"),
         "shipment_date": F.lit(as_of + timedelta(days=1)),
@@ -53,9 +58,10 @@ def smallest_ids(df: DataFrame, rows: int, key: str = "shipment_id") -> DataFram
     ``orderBy().limit()`` alone gathers up to ``rows`` candidates from each task in a single
     task. So the key range is first narrowed with small histograms over the key column, until
     few candidates lie below the bound or it cannot get narrower; the bound then reaches the scan.
+    Rows with a null key come last: they are taken only if the other rows do not reach ``rows``.
     """
-    low, high, total = df.agg(F.min(key), F.max(key), F.count("*")).first()
-    below = 0
+    low, high, total = df.agg(F.min(key), F.max(key), F.count(key)).first()
+    below, narrowed = 0, False
     while total > 4 * rows and high > low:
         width = -(-(high - low + 1) // _BINS)
         bins = (
@@ -71,6 +77,6 @@ def smallest_ids(df: DataFrame, rows: int, key: str = "shipment_id") -> DataFram
                 break
             running += row["count"]
         low, high = low + row["bin"] * width, min(high, low + (row["bin"] + 1) * width - 1)
-        below, total = running, running + row["count"]
-    bounded = df if high is None else df.filter(F.col(key) <= high)
-    return bounded.orderBy(key).limit(rows)
+        below, total, narrowed = running, running + row["count"], True
+    bounded = df.filter(F.col(key) <= high) if narrowed else df
+    return bounded.orderBy(F.col(key).asc_nulls_last()).limit(rows)

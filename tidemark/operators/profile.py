@@ -88,9 +88,13 @@ def carrier_profile(df: DataFrame) -> DataFrame:
 
 
 def recent_dates(df: DataFrame, dates: int = 10) -> DataFrame:
-    """The latest dates with their rows, version range and a witness status."""
+    """The latest dates with their rows, version range and a witness status.
+
+    The dates are taken from the date column alone first; as literals they prune all other partitions.
+    """
+    latest = df.select("shipment_date").distinct().orderBy(F.desc_nulls_last("shipment_date")).limit(dates).collect()
     return (
-        _date_groups(df)
+        _date_groups(df.filter(F.col("shipment_date") >= F.lit(latest[-1][0])) if latest and latest[-1][0] else df)
         .groupBy("shipment_date")
         .agg(
             F.sum("row_count").alias("row_count"),

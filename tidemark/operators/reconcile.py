@@ -33,49 +33,56 @@ REPORT_COLUMNS = (
 
 
 def reconcile(source_profile: DataFrame, sink_profile: DataFrame) -> DataFrame:
-    """One row per date that either side has, newest first.
-
-    Both inputs are per-date profiles, so the join never sees more rows than the window has days.
-    """
-    joined = _join_profiles(source_profile, sink_profile)
-    return joined.select(*REPORT_COLUMNS).orderBy(F.desc("shipment_date"))
+    """One row per date that either side has, newest first, judged by row counts."""
+    return _report(_side_by_side(source_profile, sink_profile), _by_counts())
 
 
 def deep_reconcile(source_profile: DataFrame, sink_profile: DataFrame) -> DataFrame:
     """As ``reconcile``, but equal counts pass only if versions, statuses and checksums agree."""
-    joined = _join_profiles(source_profile, sink_profile)
-    same_content = reduce(
-        Column.__and__, [F.col(f"{c}_source").eqNullSafe(F.col(f"{c}_sink")) for c in CHECKSUM_COLUMNS]
+    compared = ("max_version", "status", *CHECKSUM_COLUMNS)
+    differs = reduce(Column.__or__, [~F.col(f"{c}_source").eqNullSafe(F.col(f"{c}_sink")) for c in compared])
+    counted = _by_counts()
+    return _report(
+        _side_by_side(source_profile, sink_profile), F.when((counted == PASS) & differs, STALE).otherwise(counted)
+    )
+
+
+def _side_by_side(source_profile: DataFrame, sink_profile: DataFrame) -> DataFrame:
+    """The values of both profiles in one row per date; those of a side without the date are null.
+
+    The profiles, at most one row per date each, are stacked and grouped: one shuffle of as many rows as
+    the window has days, and no join.
+    """
+    values = [c for c in source_profile.columns if c != "shipment_date"]
+    stacked = source_profile.select("shipment_date", *values, F.lit("source").alias("side")).unionByName(
+        sink_profile.select("shipment_date", *values, F.lit("sink").alias("side"))
     )
-    same_profile = (F.col("max_version_source") == F.col("max_version_sink")) & (
-        F.col("status_source") == F.col("status_sink")
+    return stacked.groupBy("shipment_date").agg(
+        *[
+            F.max(F.when(F.col("side") == side, F.col(c))).alias(f"{c.replace('settlement_', '')}_{side}")
+            for c in values
+            for side in ("source", "sink")
+        ]
     )
-    result = F.when(
-        (F.col("validation_result") == PASS) & ~(same_content & same_profile), STALE
-    ).otherwise(F.col("validation_result"))
-    return joined.withColumn("validation_result", result).select(*REPORT_COLUMNS).orderBy(F.desc("shipment_date"))
 
 
-def _join_profiles(source_profile: DataFrame, sink_profile: DataFrame) -> DataFrame:
+def _by_counts() -> Column:
+    """The result of a date: a side without rows is missing, otherwise the difference decides."""
+    difference = F.col("row_count_sink") - F.col("row_count_source")
     return (
-        _sided(source_profile, "source")
-        .join(_sided(sink_profile, "sink"), on="shipment_date", how="full_outer")
-        .withColumns(
-            {
-                "validation_result": F.when(F.col("row_count_sink").isNull(), MISSING_IN_SINK)
-                .when(F.col("row_count_source").isNull(), MISSING_IN_SOURCE)
-                .when(F.col("row_count_source") == F.col("row_count_sink"), PASS)
-                .otherwise(MISMATCH),
-                "row_diff": F.coalesce("row_count_sink", F.lit(0)) - F.coalesce("row_count_source", F.lit(0)),
-            }
-        )
+        F.when(difference == 0, PASS)
+        .when(difference.isNotNull(), MISMATCH)
+        .when(F.col("row_count_source").isNotNull(), MISSING_IN_SINK)
+        .otherwise(MISSING_IN_SOURCE)
     )
 
 
-def _sided(profile: DataFrame, side: str) -> DataFrame:
-    names = {"settlement_status": f"status_{side}"}
-    return profile.withColumnsRenamed(
-        {c: names.get(c, f"{c}_{side}") for c in profile.columns if c != "shipment_date"}
+def _report(sides: DataFrame, result: Column) -> DataFrame:
+    rows = [F.coalesce(f"row_count_{side}", F.lit(0)) for side in ("sink", "source")]
+    return (
+        sides.withColumns({"validation_result": result, "row_diff": rows[0] - rows[1]})
+        .select(*REPORT_COLUMNS)
+        .orderBy(F.desc("shipment_date"))
     )
 
 
@@ -105,7 +112,11 @@ def summarise(report: DataFrame) -> DataFrame:
 
 
 def verdict(report: DataFrame) -> DataFrame:
-    """Totals and the verdict in one row; several findings can hold at once."""
+    """Totals and the verdict in one row; several findings can hold at once.
+
+    A comparison without dates, or of absent dates alone, finds nothing and so says ALL_PASSED;
+    total_dates and pass_dates tell it from one that compared rows.
+    """
     totals = report.agg(
         F.count("*").alias("total_dates"),
         F.count_if(F.col("validation_result") == PASS).alias("pass_dates"),
@@ -144,13 +155,14 @@ def row_differences(source: DataFrame, sink: DataFrame) -> DataFrame:
         .unionByName(sink.select(*SHIPMENT_COLUMNS, F.lit(False).alias("in_source")))
         .withColumn("row_hash", row_hash())
     )
-    aggregates = [F.max(PARTITION_COLUMN).alias(PARTITION_COLUMN)]
+    aggregates = []
     for side, member in (("source", in_source), ("sink", ~in_source)):
         hash_xor, hash_sum = bag_hash(F.when(member, F.col("row_hash")))
         aggregates += [
             F.count_if(member).alias(f"rows_{side}"),
             hash_xor.alias(f"xor_{side}"),
             hash_sum.alias(f"sum_{side}"),
+            F.max(F.when(member, F.col(PARTITION_COLUMN))).alias(f"date_{side}"),
             F.max(F.when(member, F.col("record_version"))).alias(f"version_{side}"),
             F.max(F.when(member, F.col("actual_cost"))).alias(f"actual_cost_{side}"),
         ]
@@ -165,7 +177,8 @@ def row_differences(source: DataFrame, sink: DataFrame) -> DataFrame:
         .filter(~same)
         .select(
             KEY_COLUMN,
-            PARTITION_COLUMN,
+            "date_source",
+            "date_sink",
             F.when(F.col("rows_sink") == 0, "ONLY_IN_SOURCE")
             .when(F.col("rows_source") == 0, "ONLY_IN_SINK")
             .otherwise("CHANGED")

@@ -58,7 +58,8 @@ def date_predicates(
             predicates.append(on_date)
             continue
         cuts = [first + (last - first + 1) * i // pieces for i in range(1, pieces)]
-        predicates.append(f"{on_date} AND shipment_id < {cuts[0]}")
+        # A row without id goes to the first range and fails the required column there, as it does uncut.
+        predicates.append(f"{on_date} AND (shipment_id < {cuts[0]} OR shipment_id IS NULL)")
         predicates += [
             f"{on_date} AND shipment_id >= {low} AND shipment_id < {high}"
             for low, high in zip(cuts, cuts[1:])
