@@ -87,7 +87,11 @@ def _history(spark: SparkSession, sf_dir: str, nights_ago: int = 0) -> StagedDat
 
 
 def _new_table(spark: SparkSession, label: str, history: StagedDates | None = None) -> str:
-    """A sink table of its own, holding a history; changes to it leave the history as it is."""
+    """A sink table of its own, holding a history.
+
+    Dates that are replaced get folders of their own and leave the history as it is; rows appended to a
+    date of the history would be seen by all tables that share it, so queries append to new dates only.
+    """
     table = f"tidemark_{label}_{uuid.uuid4().hex}"
     create_table(spark, table, scratch_path(spark, table))
     if history:

@@ -36,13 +36,19 @@ LAST_NIGHT = AS_OF - timedelta(days=1)
 WINDOW = lookback_window(AS_OF)
 
 
+def default_memory() -> str:
+    """Half of the machine's memory, at most 20 GB."""
+    total = os.sysconf("SC_PAGE_SIZE") * os.sysconf("SC_PHYS_PAGES") >> 30
+    return f"{max(2, min(20, total // 2))}g"
+
+
 def main() -> None:
     folder = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
     generated_rows = int(os.environ.get("BENCH_ROWS", "0"))
     runs = int(os.environ.get("BENCH_RUNS", "3"))
     settings = {
-        "spark.driver.memory": os.environ.get("BENCH_MEMORY", "20g"),
+        "spark.driver.memory": os.environ.get("BENCH_MEMORY", default_memory()),
         "spark.driver.host": "127.0.0.1",
         "spark.ui.enabled": "false",
         "spark.sql.shuffle.partitions": str(4 * int(cpus)),
