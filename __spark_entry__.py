@@ -19,7 +19,7 @@ from tidemark.operators import profile as pf
 from tidemark.operators import reconcile as rc
 from tidemark.operators.align import align
 from tidemark.operators.arrivals import nightly_arrivals as arrivals_of, smallest_ids
-from tidemark.operators.expand import ID_OFFSET, base_rows_only, copies_of, expand
+from tidemark.operators.expand import base_rows_only, copies_of, expand, id_distance
 from tidemark.operators.numbering import dense_ids
 from tidemark.operators.settle import advance_boundary as advanced, band_assignments, crosses_boundary, settle
 from tidemark.operators.sink import StagedDates, append, full_load as load, publish, stage, update_rows
@@ -169,14 +169,9 @@ def _largest_id(base: DataFrame) -> Column:
     return base.agg(F.max("shipment_id")).scalar()
 
 
-def _id_offset(base: DataFrame) -> Column:
-    """The usual distance, or more where the base ids go beyond it."""
-    return F.greatest(F.lit(ID_OFFSET).cast("bigint"), _largest_id(base) + 1)
-
-
 def expand_copies(spark, sf_dir):
     base = _base(spark, sf_dir)
-    return expand(base, id_offset=_id_offset(base))
+    return expand(base)
 
 
 def expand_profile(spark, sf_dir):
@@ -186,7 +181,7 @@ def expand_profile(spark, sf_dir):
 def expand_resumed(spark, sf_dir):
     """Copies 11 to 20 added to a frame that already holds 1 to 10."""
     base = _base(spark, sf_dir)
-    offset = _id_offset(base)
+    offset = id_distance(base)
     partly = base.unionByName(copies_of(base, 1, 10, offset))
     return pf.table_overview(
         partly.unionByName(copies_of(base_rows_only(partly, _largest_id(base)), 11, 20, offset))

@@ -132,3 +132,9 @@ def test_arrivals_take_all_rows_and_ids_of_their_own(spark):
     assert new.count() == 4
     assert new.join(known, "shipment_id").count() == 0
     assert new.select("shipment_id").distinct().count() == 4
+
+
+def test_copies_of_large_ids_keep_ids_of_their_own(spark):
+    base = by_age(spark, {1: 3}).withColumn("shipment_id", F.col("shipment_id") * 5_000_000)
+    for rows in (expand(base, 3), base.unionByName(copies_of(base, 1, 3))):
+        assert rows.count() == rows.select("shipment_id").distinct().count() == 12

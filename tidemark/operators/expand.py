@@ -19,18 +19,25 @@ def copies_of(
     base: DataFrame,
     first: int = 1,
     last: int = COPIES,
-    id_offset: int | Column = ID_OFFSET,
+    id_offset: int | Column | None = None,
 ) -> DataFrame:
     """Copies ``first`` .. ``last`` of every row, pending again and dated back.
 
     An explode of a literal sequence multiplies rows inside the task that read them, without a
-    join or a shuffle. ``id_offset`` must exceed the span of the base ids.
+    join or a shuffle. ``id_offset`` must exceed the span of the base ids, as its default does.
     """
+    id_offset = id_distance(base) if id_offset is None else id_offset
     return _shifted(base.withColumn("copy_no", F.explode(F.sequence(F.lit(first), F.lit(last)))), id_offset)
 
 
-def expand(base: DataFrame, copies: int = COPIES, id_offset: int | Column = ID_OFFSET) -> DataFrame:
-    """The base rows and all their copies, from one scan: copy 0 is the row itself."""
+def id_distance(base: DataFrame) -> Column:
+    """The usual distance of the ids of copies, or more where the base ids reach beyond it."""
+    return F.greatest(F.lit(ID_OFFSET).cast("bigint"), base.agg(F.max("shipment_id")).scalar() + 1)
+
+
+def expand(base: DataFrame, copies: int = COPIES, id_offset: int | Column | None = None) -> DataFrame:
+    """The base rows and all their copies, from one scan of all columns: copy 0 is the row itself."""
+    id_offset = id_distance(base) if id_offset is None else id_offset
     numbered = base.withColumn("copy_no", F.explode(F.sequence(F.lit(0), F.lit(copies))))
     is_base = F.col("copy_no") == 0
     shifted = _shifted_columns(id_offset)
