@@ -8,9 +8,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from fixtures_small import TODAY, as_set, at_age, by_age, pending
+from tidemark.operators import sink
 from tidemark.operators.settle import settle
 from tidemark.operators.sink import DateOutcome, append, full_load, replace_partitions, stage, update_rows
-from tidemark.schema import SHIPMENT_SPECS, create_table, drop_table
+from tidemark.schema import SHIPMENT_SPECS, STORED_COLUMNS, create_table, drop_table
 from tidemark.sources.tables import scan_date, scan_window, shipments
 from tidemark.functions.dates import Window
 
@@ -194,3 +195,110 @@ def test_scans_prune_partitions_and_columns(spark, table):
     )
     assert "ReadSchema: struct<record_version:int>" in plan(window)
     assert window.count() == 2
+
+
+def test_load_lost_between_two_batches_is_completed_by_running_it_again(spark, table, monkeypatch):
+    rows = by_age(spark, {1: 3, 2: 2, 80: 2})
+    add, batches = sink._add_partitions, []
+
+    def lost(*args):
+        batches.append(args)
+        if len(batches) == 2:
+            raise RuntimeError("driver lost")
+        add(*args)
+
+    monkeypatch.setattr(sink, "_PARTITIONS_PER_STATEMENT", 1)
+    monkeypatch.setattr(sink, "_add_partitions", lost)
+    with pytest.raises(RuntimeError, match="driver lost"):
+        full_load(rows, table)
+    assert 0 < spark.table(table).count() < 7
+    monkeypatch.setattr(sink, "_add_partitions", add)
+    full_load(rows, table)
+    assert stored(spark, table) == as_set(rows)
+    assert len({f.parent.name for f in files_of(spark, table)}) == 3
+    assert len({f.parent.parent for f in files_of(spark, table)}) == 1
+    with pytest.raises(ValueError, match="already holds data"):
+        full_load(rows, table)
+
+
+def test_lost_staging_leaves_nothing_after_the_next_run(spark, table, monkeypatch):
+    rows = by_age(spark, {1: 3, 2: 2})
+    full_load(rows, table)
+    publish = sink.publish
+    monkeypatch.setattr(sink, "publish", lambda *args: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        replace_partitions(rows, table, [at_age(1), at_age(2)])
+    monkeypatch.setattr(sink, "publish", publish)
+    assert len({f.parent.parent for f in files_of(spark, table)}) == 2
+    replace_partitions(rows, table, [at_age(2)])
+    used = {Path(f.removeprefix("file:").replace("//", "")) for f in spark.table(table).inputFiles()}
+    assert set(files_of(spark, table)) == used
+    assert stored(spark, table) == as_set(rows)
+
+
+def test_run_lost_while_publishing_keeps_what_is_in_use(spark, table, monkeypatch):
+    rows = by_age(spark, {1: 3, 2: 2})
+    full_load(rows, table)
+    folder = sink._date_folder
+    monkeypatch.setattr(sink, "_date_folder", lambda root, d: 1 / 0 if d == at_age(2) else folder(root, d))
+    with pytest.raises(ZeroDivisionError):
+        replace_partitions(settle(rows, TODAY), table, [at_age(1), at_age(2)])
+    monkeypatch.setattr(sink, "_date_folder", folder)
+    mixed = as_set(settle(rows, TODAY).filter("shipment_id <= 3")) + as_set(rows.filter("shipment_id > 3"))
+    assert stored(spark, table) == sorted(mixed)
+    replace_partitions(by_age(spark, {3: 1}), table, [at_age(3)])
+    assert stored(spark, table) == sorted(mixed + as_set(by_age(spark, {3: 1})))
+    assert len(files_of(spark, table)) == len(spark.table(table).inputFiles())
+
+
+def test_retained_files_go_with_the_next_run(spark, table):
+    rows = by_age(spark, {1: 3, 80: 2})
+    full_load(rows, table)
+    reader = spark.table(table)
+    before = files_of(spark, table)
+    replace_partitions(settle(rows, TODAY), table, [at_age(1)], retain=True)
+    assert set(before) <= set(files_of(spark, table))
+    replace_partitions(settle(rows, TODAY), table, [at_age(1)], retain=True)
+    kept = set(before) & set(files_of(spark, table))
+    assert {f.parent.name for f in kept} == {f"shipment_date={at_age(80)}"}
+    assert reader.count() == 5
+
+
+def test_listings_do_not_grow_with_the_runs(spark, table, monkeypatch):
+    rows = by_age(spark, {1: 1, 2: 1})
+    full_load(rows, table)
+    listed, children = [], sink._HadoopPath.children
+    monkeypatch.setattr(sink._HadoopPath, "children", lambda self: listed.append(self.path) or children(self))
+    per_run = []
+    for _ in range(6):
+        listed.clear()
+        replace_partitions(rows, table, [at_age(1)], clustered=True, retain=True)
+        per_run.append(len(listed))
+    assert per_run[1:] == per_run[1:2] * 5
+
+
+def test_vacuum_removes_what_no_partition_points_at(spark, table):
+    rows = by_age(spark, {1: 3, 80: 2})
+    full_load(rows, table)
+    location = sink._table_location(spark, table)
+    stage(rows, f"{location}/_runs/lost")
+    assert sink.vacuum(spark, table) == 2
+    assert stored(spark, table) == as_set(rows)
+    assert len(files_of(spark, table)) == len(spark.table(table).inputFiles())
+    assert sink.vacuum(spark, table) == 0
+
+
+def test_isolated_date_fails_alone(spark, table):
+    rows = by_age(spark, {1: 3, 2: 2})
+    full_load(rows, table)
+    new = settle(rows, TODAY)
+    broken = new.withColumn("payload", F.when(F.col("shipment_id") <= 2, F.lit(None)).otherwise(F.col("payload")))
+    outcome = replace_partitions(broken, table, [at_age(1), at_age(2), at_age(3)], isolate=True)
+    assert outcome == [
+        DateOutcome(at_age(1), 0, "FAILED", 2, "payload is null"),
+        DateOutcome(at_age(2), 2, "REPLACED"),
+        DateOutcome(at_age(3), 0, "ABSENT"),
+    ]
+    assert stored(spark, table) == sorted(as_set(rows.filter("shipment_id <= 3")) + as_set(new.filter("shipment_id > 3")))
+    assert spark.table(table).columns == list(STORED_COLUMNS)
+    assert len(files_of(spark, table)) == len(spark.table(table).inputFiles())

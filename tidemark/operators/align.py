@@ -11,24 +11,39 @@ from tidemark.schema import SHIPMENT_SPECS, ColumnSpec
 _CONVERTIBLE = (T.NumericType, T.StringType, T.DateType, T.TimestampType, T.TimestampNTZType)
 
 
-def align(df: DataFrame) -> DataFrame:
+def align(df: DataFrame, problem: str | None = None) -> DataFrame:
     """Select the shipment columns by name, converted to their exact types.
 
     Extra source columns are left out. A missing column takes its default or is an error.
     Conversions that would lose digits, time of day or characters, and nulls in required
     columns, raise while the rows are written, in the same pass, because Parquet tables do not
     enforce NOT NULL. Filter on dates *before* aligning: the checks hide the column from the scan.
+
+    With ``problem`` nothing raises: a column of that name, after the others, says what is wrong with
+    a row, null for a good one.
     """
     available = {field.name: field.dataType for field in df.schema}
-    return df.select(*[_fit(spec, available).alias(spec.name) for spec in SHIPMENT_SPECS])
+    values, found = [], []
+    for spec in SHIPMENT_SPECS:
+        value, checks = _fit(spec, available)
+        texts = [(failed, F.lit(f"{spec.name} {fault}")) for failed, fault in checks]
+        found += [F.when(failed, text) for failed, text in texts]
+        if problem is None:
+            for failed, text in reversed(texts):
+                value = F.when(failed, F.raise_error(text)).otherwise(value)
+        values.append(value.alias(spec.name))
+    if problem is not None:
+        values.append(F.coalesce(*found, F.lit(None).cast("string")).alias(problem))
+    return df.select(*values)
 
 
-def _fit(spec: ColumnSpec, available: dict[str, T.DataType]) -> Column:
+def _fit(spec: ColumnSpec, available: dict[str, T.DataType]) -> tuple[Column, list[tuple[Column, str]]]:
+    """The converted value, and the checks it has to pass with what failing them means."""
     if spec.name not in available:
         if spec.default is not None:
-            return F.lit(spec.default).cast(spec.data_type)
+            return F.lit(spec.default).cast(spec.data_type), []
         if spec.nullable:
-            return F.lit(None).cast(spec.data_type)
+            return F.lit(None).cast(spec.data_type), []
         raise ValueError(f"source has no column {spec.name}")
     value = F.col(spec.name)
     source_type = available[spec.name]
@@ -43,9 +58,7 @@ def _fit(spec: ColumnSpec, available: dict[str, T.DataType]) -> Column:
         checks.append((F.char_length(converted) > spec.max_length, "is too long"))
     if not spec.nullable:
         checks.append((converted.isNull(), "is null"))
-    for failed, problem in reversed(checks):
-        converted = F.when(failed, F.raise_error(F.lit(f"{spec.name} {problem}"))).otherwise(converted)
-    return converted
+    return converted, checks
 
 
 def _convert(

@@ -7,13 +7,19 @@ source is read once, since the staged files themselves tell which dates came bac
 Each date is atomic by itself. Several dates are published one after another, so a driver lost
 in between leaves some old and some new, and running again completes them.
 
+A run leaves a marker in the table's folder while it works, and a note of the folders it retires before
+it retires them. The next run reads what is left of these and deletes the files of lost runs and,
+where a run was told to retain them for readers, the retired ones. Its cost follows the dates replaced, not the
+age of the table.
+
 Read the table through the catalog, not by path, and let one job write at a time.
 """
 
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 from datetime import date
 
@@ -27,20 +33,30 @@ from tidemark.schema import PARTITION_COLUMN, STORED_COLUMNS, create_table, stor
 REPLACED = "REPLACED"
 CLEARED = "CLEARED"
 ABSENT = "ABSENT"
+FAILED = "FAILED"
 
 # Fixed bound on partitions named in one catalog statement.
 _PARTITIONS_PER_STATEMENT = 200
 
 _DATE_PREFIX = f"{PARTITION_COLUMN}="
+# In staged files only: what is wrong with a row.
+_PROBLEM = "_problem"
+_LOAD = "load-"
 
 
 @dataclass(frozen=True)
 class DateOutcome:
-    """What happened to one date: rows written, and whether it was replaced, cleared or absent."""
+    """What happened to one date: rows written, and whether it was replaced, cleared or absent.
+
+    A failed date stays as it was; bad_rows of its new rows do not fit the table, the first problem in the order of
+    their texts among them.
+    """
 
     shipment_date: date
     rows_written: int
     action: str
+    bad_rows: int = 0
+    problem: str | None = None
 
 
 @dataclass(frozen=True)
@@ -60,6 +76,17 @@ class StagedDates:
         )
         return {row[PARTITION_COLUMN]: row["n"] for row in counts.collect()}
 
+    def bad_dates(self, spark: SparkSession) -> dict[date, tuple[int, str]]:
+        """Bad rows and a problem of each date that has any; reads the one column of problems."""
+        bad = (
+            spark.read.schema(stored_schema().add(_PROBLEM, "string"))
+            .parquet(self.folder)
+            .filter(F.col(_PROBLEM).isNotNull())
+            .groupBy(PARTITION_COLUMN)
+            .agg(F.count("*").alias("n"), F.min(_PROBLEM).alias("problem"))
+        )
+        return {row[PARTITION_COLUMN]: (row["n"], row["problem"]) for row in bad.collect()}
+
 
 def append(df: DataFrame, table: str, clustered: bool = False) -> None:
     """Add rows; nothing that is stored changes."""
@@ -68,50 +95,66 @@ def append(df: DataFrame, table: str, clustered: bool = False) -> None:
     _laid_out(align(df), clustered).select(*columns).write.insertInto(table)
 
 
-def stage(df: DataFrame, folder: str, clustered: bool = False) -> StagedDates:
-    """Write a frame's rows by date into a folder no table refers to yet."""
-    (
-        _laid_out(align(df), clustered)
-        .select(*STORED_COLUMNS)
-        .write.partitionBy(PARTITION_COLUMN)
-        .parquet(folder)
-    )
-    names = _HadoopPath(df.sparkSession, folder).children()
-    return StagedDates(
-        folder,
-        frozenset(
-            date.fromisoformat(n.removeprefix(_DATE_PREFIX)) for n in names if n.startswith(_DATE_PREFIX)
-        ),
-    )
+def stage(df: DataFrame, folder: str, clustered: bool = False, isolate: bool = False) -> StagedDates:
+    """Write a frame's rows by date into a folder no table refers to yet.
+
+    With ``isolate`` a row that does not fit the table is written with its problem beside it instead of
+    failing the job; see ``StagedDates.bad_dates``.
+    """
+    rows = align(df, _PROBLEM) if isolate else align(df)
+    columns = [c for c in STORED_COLUMNS if c != PARTITION_COLUMN] + [_PROBLEM] * isolate + [PARTITION_COLUMN]
+    _laid_out(rows, clustered).select(*columns).write.partitionBy(PARTITION_COLUMN).parquet(folder)
+    return StagedDates(folder, frozenset(_HadoopPath(df.sparkSession, folder).dates()))
 
 
 def full_load(df: DataFrame, table: str, location: str | None = None, clustered: bool = False) -> None:
-    """The one-time load of all history into a new table."""
+    """The one-time load of all history into a new table.
+
+    Until it is complete, running it again loads everything anew, also after it was lost halfway
+    through publishing; after that the table counts as holding data.
+    """
     spark = df.sparkSession
     create_table(spark, table, location)
-    if _partition_dates(spark, table):
+    stored = _partition_dates(spark, table)
+    opened = _HadoopPath(spark, f"{_table_location(spark, table)}/_open").children()
+    if stored and not any(run.startswith(_LOAD) for run in opened):
         raise ValueError(f"{table} already holds data")
-    staged = stage(df, _run_folder(spark, table), clustered)
-    publish(spark, table, staged, staged.dates)
+    with _run(spark, table, _LOAD) as folder:
+        staged = stage(df, folder, clustered)
+        publish(spark, table, staged, staged.dates | stored)
 
 
 def replace_partitions(
-    df: DataFrame, table: str, dates: Iterable[date], clustered: bool = False
+    df: DataFrame,
+    table: str,
+    dates: Iterable[date],
+    clustered: bool = False,
+    isolate: bool = False,
+    retain: bool = False,
 ) -> list[DateOutcome]:
     """Make each of ``dates`` hold exactly the rows ``df`` has for it; touch no other date.
 
     A date without rows in ``df`` is cleared. ``clustered`` says that each input task holds rows
     of few dates, as with a scan of a date-partitioned table, so that writing needs no shuffle.
+    A row that does not fit the table fails the whole call, or with ``isolate`` its date alone. With
+    ``retain`` replaced files stay until the next run, for readers that have planned with them.
     """
     spark = df.sparkSession
     wanted = sorted(set(dates), reverse=True)
-    staged = stage(df.filter(on_dates(wanted)), _run_folder(spark, table), clustered)
-    rows = staged.rows_per_date(spark)
-    stored = publish(spark, table, staged, wanted)
-    return [
-        DateOutcome(d, rows.get(d, 0), REPLACED if d in rows else CLEARED if d in stored else ABSENT)
-        for d in wanted
-    ]
+    with _run(spark, table) as folder:
+        staged = stage(df.filter(on_dates(wanted)), folder, clustered, isolate)
+        bad = staged.bad_dates(spark) if isolate else {}
+        rows = staged.rows_per_date(spark)
+        stored = publish(spark, table, staged, set(wanted) - bad.keys(), retain)
+        for d in bad:
+            _HadoopPath(spark, _date_folder(folder, d)).delete()
+
+    def outcome(d: date) -> DateOutcome:
+        if d in bad:
+            return DateOutcome(d, 0, FAILED, *bad[d])
+        return DateOutcome(d, rows.get(d, 0), REPLACED if d in rows else CLEARED if d in stored else ABSENT)
+
+    return [outcome(d) for d in wanted]
 
 
 def update_rows(
@@ -141,16 +184,23 @@ def _laid_out(df: DataFrame, clustered: bool) -> DataFrame:
 
 
 def publish(
-    spark: SparkSession, table: str, staged: StagedDates, wanted: Iterable[date]
+    spark: SparkSession, table: str, staged: StagedDates, wanted: Iterable[date], retain: bool = False
 ) -> set[date]:
     """Point the table's partitions of ``wanted`` at the staged folders, one date at a time.
 
     Wanted dates that were not staged end up empty. Folders of the table that held these dates
-    before are deleted at the end. Returns the dates the table had before.
+    before are deleted at the end, with ``retain`` by the next run. Returns the dates the table had before.
     """
     wanted = set(wanted)
+    location = _HadoopPath(spark, _table_location(spark, table))
     stored = _partition_dates(spark, table)
-    for d in sorted(wanted & stored, reverse=True):
+    replaced = sorted(wanted & stored, reverse=True)
+    former = [_partition_path(spark, table, d) for d in replaced]
+    note = location.child("_retired").child(staged.folder.rsplit("/", 1)[-1])
+    retired = [path for path in former if path.startswith(location.plain + "/")]
+    if retired:
+        note.write("\n".join(retired))
+    for d in replaced:
         target = _date_folder(staged.folder, d)
         if d not in staged.dates:
             # An empty folder, not a dropped partition: a later append to this date must not
@@ -159,36 +209,95 @@ def publish(
         spark.sql(f"ALTER TABLE {table} PARTITION ({_spec(d)}) SET LOCATION '{target}'")
     new_dates = sorted((wanted & staged.dates) - stored)
     for start in range(0, len(new_dates), _PARTITIONS_PER_STATEMENT):
-        batch = new_dates[start : start + _PARTITIONS_PER_STATEMENT]
-        parts = " ".join(
-            f"PARTITION ({_spec(d)}) LOCATION '{_date_folder(staged.folder, d)}'" for d in batch
-        )
-        spark.sql(f"ALTER TABLE {table} ADD {parts}")
-    _delete_replaced(spark, table, staged, wanted & stored)
+        _add_partitions(spark, table, staged, new_dates[start : start + _PARTITIONS_PER_STATEMENT])
+    if retired and not retain:
+        _delete_folders(location, retired)
+        note.delete()
     return stored
 
 
-def _delete_replaced(spark: SparkSession, table: str, staged: StagedDates, dates: set[date]) -> None:
-    """Remove what else the table's own folder holds for these dates, crashed runs included."""
-    location = _table_location(spark, table)
-    names = {_date_name(d) for d in dates}
-    runs = _HadoopPath(spark, f"{location}/_runs")
-    folders = [location] + [f"{location}/_runs/{run}" for run in runs.children()]
+def vacuum(spark: SparkSession, table: str) -> int:
+    """Delete every date folder inside the table's own that no partition points at; returns their number.
+
+    For what no note names any more, such as files of runs before a marker could be written. It lists all
+    run folders and asks for the location of each date found, so it is maintenance, not part of a run. Let no reader or writer work
+    meanwhile.
+    """
+    location = _HadoopPath(spark, _table_location(spark, table))
+    stored = _partition_dates(spark, table)
+    pointed: dict[date, str] = {}
+    unused = []
+    for folder in [location, *map(location.child("_runs").child, location.child("_runs").children())]:
+        for d in folder.dates():
+            if d in stored and d not in pointed:
+                pointed[d] = _partition_path(spark, table, d)
+            path = folder.child(_date_name(d)).plain
+            if pointed.get(d) != path:
+                unused.append(path)
+        if folder is not location and not folder.dates():
+            folder.delete()
+    _delete_folders(location, unused)
+    for kind in ("_open", "_retired"):
+        location.child(kind).delete()
+    return len(unused)
+
+
+@contextmanager
+def _run(spark: SparkSession, table: str, prefix: str = "") -> Iterator[str]:
+    """A fresh folder inside the table's own, hidden from readers by its underscore.
+
+    It is marked as open until the work is done; what earlier runs left is deleted then.
+    """
+    location = _HadoopPath(spark, _table_location(spark, table))
+    name = prefix + uuid.uuid4().hex
+    marker = location.child("_open").child(name)
+    marker.write("")
+    yield location.child("_runs").child(name).path
+    _clean_up(spark, table, location, name)
+    marker.delete()
+
+
+def _clean_up(spark: SparkSession, table: str, location: _HadoopPath, run: str) -> None:
+    """Delete what lost runs staged and what earlier runs retired."""
+    lost = set(location.child("_open").children()) - {run}
+    notes = set(location.child("_retired").children()) - {run}
+    folders = [location.child("_runs").child(name) for name in lost]
+    left = [folder.child(_date_name(d)).plain for folder in folders for d in folder.dates()]
+    certain = []
+    for name in notes:
+        paths = location.child("_retired").child(name).read().splitlines()
+        # A run lost while it published may have left the old files in use.
+        (left if name in lost else certain).extend(paths)
+    stored = _partition_dates(spark, table) if left else set()
+
+    def in_use(path: str) -> bool:
+        d = _date_of(path)
+        return d in stored and _partition_path(spark, table, d) == path
+
+    _delete_folders(location, certain + [path for path in set(left) if not in_use(path)])
     for folder in folders:
-        if folder == staged.folder:
-            continue
-        present = set(_HadoopPath(spark, folder).children())
-        replaced = names & present
-        for name in replaced:
-            _HadoopPath(spark, f"{folder}/{name}").delete()
-        emptied = replaced and not any(n.startswith(_DATE_PREFIX) for n in present - names)
-        if emptied and folder != location:
-            _HadoopPath(spark, folder).delete()
+        if not folder.dates():
+            folder.delete()
+    for kind, names in (("_retired", notes), ("_open", lost)):
+        for name in names:
+            location.child(kind).child(name).delete()
+
+
+def _delete_folders(location: _HadoopPath, paths: Iterable[str]) -> None:
+    """Delete date folders, and run folders that hold no date any more."""
+    parents = set()
+    for path in paths:
+        location.at(path).delete()
+        parents.add(path.rsplit("/", 1)[0])
+    for parent in parents - {location.plain}:
+        folder = location.at(parent)
+        if not folder.dates():
+            folder.delete()
 
 
-def _run_folder(spark: SparkSession, table: str) -> str:
-    """A fresh folder inside the table's own, hidden from readers by its underscore."""
-    return f"{_table_location(spark, table)}/_runs/{uuid.uuid4().hex}"
+def _add_partitions(spark: SparkSession, table: str, staged: StagedDates, dates: list[date]) -> None:
+    parts = " ".join(f"PARTITION ({_spec(d)}) LOCATION '{_date_folder(staged.folder, d)}'" for d in dates)
+    spark.sql(f"ALTER TABLE {table} ADD {parts}")
 
 
 def _date_name(d: date) -> str:
@@ -209,24 +318,65 @@ def _partition_dates(spark: SparkSession, table: str) -> set[date]:
 
 
 def _table_location(spark: SparkSession, table: str) -> str:
-    description = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()
-    return next(row["data_type"] for row in description if row["col_name"] == "Location")
+    return _location(spark.sql(f"DESCRIBE TABLE EXTENDED {table}"))
+
+
+def _partition_path(spark: SparkSession, table: str, d: date) -> str:
+    """Where the catalog says that a stored date's files are, without the scheme."""
+    return _HadoopPath(spark, _location(spark.sql(f"DESCRIBE TABLE EXTENDED {table} PARTITION ({_spec(d)})"))).plain
+
+
+def _location(description: DataFrame) -> str:
+    # A partition's own location stands before that of its table.
+    return next(row["data_type"] for row in description.collect() if row["col_name"] == "Location")
+
+
+def _date_of(path: str) -> date:
+    return date.fromisoformat(path.rsplit("/", 1)[-1].removeprefix(_DATE_PREFIX))
 
 
 class _HadoopPath:
-    """A folder reached through the session's Hadoop settings, wherever it is stored."""
+    """A file or folder reached through the session's Hadoop settings, wherever it is stored."""
 
     def __init__(self, spark: SparkSession, path: str) -> None:
+        self.path = path
+        self._spark = spark
         self._path = spark._jvm.org.apache.hadoop.fs.Path(path)
         self._files = self._path.getFileSystem(spark._jsc.hadoopConfiguration())
 
+    @property
+    def plain(self) -> str:
+        """The path without its scheme, the same however the location was written."""
+        return self._path.toUri().getPath()
+
+    def child(self, name: str) -> _HadoopPath:
+        return _HadoopPath(self._spark, f"{self.path}/{name}")
+
+    def at(self, plain: str) -> _HadoopPath:
+        """A plain path on the same file system."""
+        return _HadoopPath(self._spark, self._files.makeQualified(self._spark._jvm.org.apache.hadoop.fs.Path(plain)).toString())
+
     def children(self) -> list[str]:
         if not self._files.exists(self._path):
             return []
         return [status.getPath().getName() for status in self._files.listStatus(self._path)]
 
+    def dates(self) -> list[date]:
+        return [_date_of(name) for name in self.children() if name.startswith(_DATE_PREFIX)]
+
     def mkdirs(self) -> None:
         self._files.mkdirs(self._path)
 
+    def write(self, text: str) -> None:
+        out = self._files.create(self._path, True)
+        out.write(bytearray(text.encode()))
+        out.close()
+
+    def read(self) -> str:
+        stream = self._files.open(self._path)
+        text = bytes(stream.readAllBytes()).decode()
+        stream.close()
+        return text
+
     def delete(self) -> None:
         self._files.delete(self._path, True)

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.dates import LOOKBACK_DAYS, Window, lookback_window
 from tidemark.operators.profile import date_checksums
 from tidemark.operators.reconcile import failing_dates
-from tidemark.operators.sink import DateOutcome, REPLACED, CLEARED, replace_partitions
+from tidemark.operators.sink import CLEARED, FAILED, REPLACED, DateOutcome, replace_partitions
 from tidemark.schema import PARTITION_COLUMN
 
 
@@ -25,10 +25,21 @@ class RebuildResult:
     def by_date(self, spark: SparkSession) -> DataFrame:
         """One row per date of the run; a run has as many dates as its window has days."""
         return spark.createDataFrame(
-            [(o.shipment_date, o.rows_written, o.action) for o in self.outcomes],
-            "shipment_date date, rows_written bigint, action string",
+            [(o.shipment_date, o.rows_written, o.action, o.bad_rows) for o in self.outcomes],
+            "shipment_date date, rows_written bigint, action string, bad_rows bigint",
         )
 
+    def failed(self) -> list[DateOutcome]:
+        """Dates that stay as they were because rows of theirs do not fit the table."""
+        return [o for o in self.outcomes if o.action == FAILED]
+
+    def check(self) -> RebuildResult:
+        """The result itself, or an error that names the failed dates; the others are published."""
+        if self.failed():
+            texts = [f"{o.shipment_date}: {o.bad_rows} rows, {o.problem}" for o in self.failed()]
+            raise ValueError("dates not rebuilt: " + "; ".join(texts))
+        return self
+
     def summary(self, spark: SparkSession) -> DataFrame:
         return self.by_date(spark).agg(
             F.count("*").alias("dates_rebuilt"),
@@ -37,6 +48,7 @@ class RebuildResult:
             F.coalesce(F.sum("rows_written"), F.lit(0)).alias("rows_written"),
             F.count_if(F.col("action") == REPLACED).alias("dates_replaced"),
             F.count_if(F.col("action") == CLEARED).alias("dates_cleared"),
+            F.count_if(F.col("action") == FAILED).alias("dates_failed"),
         )
 
 
@@ -47,25 +59,28 @@ def rebuild(
     lookback_days: int = LOOKBACK_DAYS,
     missed_nights: int = 0,
     clustered: bool = False,
+    fail_all: bool = False,
 ) -> RebuildResult:
     """Replace every date of the window in ``table`` by the source's rows of that date.
 
     All dates are one job, so small and large ones share the cluster. Dates outside the window
-    are neither read nor written.
+    are neither read nor written. A date with a row that does not fit the table fails alone and stays
+    as it was: ``check()`` of the result raises then. With ``fail_all`` such a row fails the job and
+    no date is published.
     """
     window = lookback_window(as_of, lookback_days, missed_nights)
-    return rebuild_dates(source, table, window.dates(), clustered)
+    return rebuild_dates(source, table, window.dates(), clustered, fail_all)
 
 
 def rebuild_dates(
-    source: DataFrame, table: str, dates: Iterable[date], clustered: bool = False
+    source: DataFrame, table: str, dates: Iterable[date], clustered: bool = False, fail_all: bool = False
 ) -> RebuildResult:
-    """Rebuild any set of dates, down to a single one."""
-    return RebuildResult(replace_partitions(source, table, dates, clustered))
+    """Rebuild any set of dates, down to a single one; replaced files stay for readers until the next run."""
+    return RebuildResult(replace_partitions(source, table, dates, clustered, isolate=not fail_all, retain=True))
 
 
 def repair(source: DataFrame, table: str, report: DataFrame, clustered: bool = False) -> RebuildResult:
-    """Rebuild only the dates whose reconciliation failed.
+    """Rebuild only the dates whose reconciliation failed, each on its own as in ``rebuild``.
 
     The report has one row per date of a window, and so has the list taken from it.
     """
