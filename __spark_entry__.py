@@ -311,6 +311,34 @@ def partition_row_diff(spark, sf_dir):
     return rc.row_differences(scan_window(source, WINDOW), scan_window(sink, WINDOW))
 
 
+def _order_lines(spark, sf_dir):
+    """Order lines as shipments, whose ids and versions repeat."""
+    return spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(
+        F.col("l_orderkey").alias("shipment_id"),
+        F.col("l_shipdate").cast("date").alias("shipment_date"),
+        (1 + F.col("l_linenumber") % 4).cast("int").alias("record_version"),
+        F.lit("Pending").alias("settlement_status"),
+        F.lit("CAR-A").alias("carrier_code"),
+        F.lit("North").alias("origin_region"),
+        F.lit("South").alias("destination_region"),
+        F.col("l_extendedprice").cast("decimal(18,2)").alias("estimated_cost"),
+        F.lit(None).cast("decimal(18,2)").alias("actual_cost"),
+        F.col("l_quantity").cast("decimal(10,2)").alias("weight_lbs"),
+        F.lit("LINE").alias("payload"),
+    )
+
+
+def partition_row_diff_repeated(spark, sf_dir):
+    """Repeated ids: one side lacks some ids, some rows of others, and has other versions on some dates."""
+    lines = _order_lines(spark, sf_dir)
+    key, version = F.col("shipment_id"), F.col("record_version")
+    moved = (F.dayofmonth("shipment_date") == 9) & (version == 2)
+    sink = lines.filter((key % 7 != 0) & ~((key % 5 == 0) & (version == 3))).withColumn(
+        "record_version", F.when(moved, F.lit(4)).otherwise(version)
+    )
+    return rc.row_differences(lines, sink)
+
+
 def failing_dates(spark, sf_dir):
     return rc.failing_dates(_planted_report(spark, sf_dir))
 
@@ -389,16 +417,34 @@ def rebuild_empty_date(spark, sf_dir):
 
 def rebuild_summary(spark, sf_dir):
     table = _new_table(spark, "summary", _history(spark, sf_dir, 1))
-    return rebuild(_planted_source(_settled(spark, sf_dir)), table, AS_OF).summary(spark)
+    return rebuild(_planted_source(_settled(spark, sf_dir)), table, AS_OF).summary(spark).drop("dates_failed")
 
 
 def rebuild_by_date(spark, sf_dir):
     table = _new_table(spark, "by_date", _history(spark, sf_dir, 1))
-    return rebuild(_planted_source(_settled(spark, sf_dir)), table, AS_OF).by_date(spark)
+    return rebuild(_planted_source(_settled(spark, sf_dir)), table, AS_OF).by_date(spark).drop("bad_rows")
 
 
-def repair_cycle(spark, sf_dir):
-    """Planted defects found, the failing dates rebuilt, and the window compared again."""
+def _with_bad_dates(df: DataFrame) -> DataFrame:
+    bad = F.dayofmonth(PARTITION_COLUMN).isin(7, 17, 27) & (F.col(KEY_COLUMN) % 2 == 0)
+    return df.withColumn("payload", F.when(bad, F.lit(None)).otherwise(F.col("payload")))
+
+
+def rebuild_with_bad_date(spark, sf_dir):
+    """Some dates hold rows that do not fit the table: these dates fail, all others are rebuilt."""
+    table = _new_table(spark, "bad_date", _history(spark, sf_dir, 11))
+    return rebuild(_with_bad_dates(_settled(spark, sf_dir)), table, AS_OF).by_date(spark)
+
+
+def rebuild_around_bad_date(spark, sf_dir):
+    """The table after such a rebuild: failed dates are as they were."""
+    table = _new_table(spark, "around_bad", _history(spark, sf_dir, 11))
+    rebuild(_with_bad_dates(_settled(spark, sf_dir)), table, AS_OF)
+    return shipments(spark, table)
+
+
+def _repaired(spark, sf_dir):
+    """Planted defects found and the failing dates rebuilt: the repair, and a new comparison of the window."""
     source = _planted_source(_settled(spark, sf_dir))
     table = _new_table(spark, "repair", _history(spark, sf_dir))
     rebuild(_planted_sink(_settled(spark, sf_dir)), table, AS_OF)
@@ -408,19 +454,37 @@ def repair_cycle(spark, sf_dir):
             pf.per_date_profile(source, WINDOW), pf.per_date_profile(shipments(spark, table), WINDOW)
         )
 
-    repair(source, table, report())
-    return report()
+    return repair(source, table, report()), report()
 
 
-def frozen_guard(spark, sf_dir):
-    """Frozen dates and rows, and how many of those dates a rebuild changed."""
+def repair_cycle(spark, sf_dir):
+    return _repaired(spark, sf_dir)[1]
+
+
+def repair_cycle_dates(spark, sf_dir):
+    """Which dates the repair rebuilt, and how."""
+    return _repaired(spark, sf_dir)[0].by_date(spark)
+
+
+def _frozen_around_rebuild(spark, sf_dir, missed_nights=0):
+    """Checksums of the frozen dates before and after a rebuild of a table eleven nights old."""
     table = _new_table(spark, "frozen", _history(spark, sf_dir, 11))
     kept = scratch_path(spark, "frozen_before")
     before = frozen_checksums(shipments(spark, table), WINDOW)
     before.write.parquet(kept)
     before = spark.read.schema(before.schema).parquet(kept)
-    rebuild(_settled(spark, sf_dir), table, AS_OF)
-    after = frozen_checksums(shipments(spark, table), WINDOW)
+    rebuild(_settled(spark, sf_dir), table, AS_OF, missed_nights=missed_nights)
+    return before, frozen_checksums(shipments(spark, table), WINDOW)
+
+
+def frozen_guard_changed(spark, sf_dir):
+    """A rebuild that makes up for missed nights changes dates that count as frozen by now; they are named."""
+    return frozen_changes(*_frozen_around_rebuild(spark, sf_dir, missed_nights=10))
+
+
+def frozen_guard(spark, sf_dir):
+    """Frozen dates and rows, and how many of those dates a rebuild changed."""
+    before, after = _frozen_around_rebuild(spark, sf_dir)
     changed = frozen_changes(before, after).agg(F.count("*")).scalar()
     return after.agg(
         F.count("*").alias("frozen_dates"),
@@ -499,6 +563,7 @@ def table_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         reconcile_spine,
         deep_reconcile,
         partition_row_diff,
+        partition_row_diff_repeated,
         failing_dates,
         full_load,
         append_insert,
@@ -512,8 +577,12 @@ def table_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         rebuild_empty_date,
         rebuild_summary,
         rebuild_by_date,
+        rebuild_with_bad_date,
+        rebuild_around_bad_date,
         repair_cycle,
+        repair_cycle_dates,
         frozen_guard,
+        frozen_guard_changed,
         strategy_comparison,
         strategy_comparison_repeated,
         validation_widened,

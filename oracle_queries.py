@@ -72,6 +72,7 @@ PLANTED_SINK_RULE = (
     "day(shipment_date) NOT IN (3, 13, 23) "
     "AND NOT (day(shipment_date) IN (5, 15, 25) AND shipment_id % 2 = 0)"
 )
+BAD_ROW = "day(shipment_date) IN (7, 17, 27) AND shipment_id % 2 = 0"
 
 
 def planted(sink_rows: str = "now_rows") -> str:
@@ -331,6 +332,30 @@ FROM spine LEFT JOIN report ON report.shipment_date = CAST(d AS VARCHAR)"""
     "partition_row_diff": with_ctes(
         BASE, NOW, OLD_3, planted("old_rows"), DIFFERENCES, "SELECT * FROM differences"
     ),
+    "partition_row_diff_repeated": with_ctes(
+        """lines AS (
+  SELECT l_orderkey AS shipment_id, CAST(l_shipdate AS DATE) AS shipment_date,
+         CAST(1 + l_linenumber % 4 AS INTEGER) AS record_version,
+         CAST(l_extendedprice AS DECIMAL(18,2)) AS estimated_cost, CAST(l_quantity AS DECIMAL(10,2)) AS weight_lbs
+  FROM lineitem)""",
+        """others AS (
+  SELECT * REPLACE (CAST(CASE WHEN day(shipment_date) = 9 AND record_version = 2 THEN 4 ELSE record_version END
+                         AS INTEGER) AS record_version)
+  FROM lines WHERE shipment_id % 7 <> 0 AND NOT (shipment_id % 5 = 0 AND record_version = 3))""",
+        *(
+            f"""{side} AS (
+  SELECT shipment_id, count(*) AS n, max(shipment_date) AS newest, max(record_version) AS version,
+         list_sort(list((shipment_date, record_version, estimated_cost, weight_lbs))) AS rows_of_id
+  FROM {rows} GROUP BY 1)"""
+            for side, rows in (("a", "lines"), ("b", "others"))
+        ),
+        """SELECT coalesce(a.shipment_id, b.shipment_id) AS shipment_id, a.newest AS date_source, b.newest AS date_sink,
+       CASE WHEN b.n IS NULL THEN 'ONLY_IN_SOURCE' WHEN a.n IS NULL THEN 'ONLY_IN_SINK' ELSE 'CHANGED' END AS difference,
+       coalesce(a.n, 0) AS rows_source, coalesce(b.n, 0) AS rows_sink,
+       a.version AS version_source, b.version AS version_sink,
+       CAST(NULL AS DECIMAL(18,2)) AS actual_cost_source, CAST(NULL AS DECIMAL(18,2)) AS actual_cost_sink
+FROM a FULL OUTER JOIN b ON a.shipment_id = b.shipment_id WHERE a.rows_of_id IS DISTINCT FROM b.rows_of_id""",
+    ),
     "failing_dates": planted_report(
         "SELECT shipment_date, validation_result FROM report WHERE validation_result <> 'PASS'"
     ),
@@ -376,6 +401,35 @@ FROM base WHERE {IN_WINDOW}""",
             WHEN count(shipment_id) FILTER (WHERE {PLANTED_SOURCE_RULE}) = 0 THEN 'CLEARED'
             ELSE 'REPLACED' END AS action
 FROM spine LEFT JOIN base ON shipment_date = d GROUP BY d""",
+    ),
+    "rebuild_with_bad_date": with_ctes(
+        BASE,
+        SPINE,
+        f"""SELECT d AS shipment_date,
+       CASE WHEN count(shipment_id) FILTER (WHERE {BAD_ROW}) > 0 THEN 0 ELSE count(shipment_id) END AS rows_written,
+       CASE WHEN count(shipment_id) = 0 THEN 'ABSENT'
+            WHEN count(shipment_id) FILTER (WHERE {BAD_ROW}) > 0 THEN 'FAILED' ELSE 'REPLACED' END AS action,
+       count(shipment_id) FILTER (WHERE {BAD_ROW}) AS bad_rows
+FROM spine LEFT JOIN base ON shipment_date = d GROUP BY d""",
+    ),
+    "rebuild_around_bad_date": with_ctes(
+        BASE,
+        NOW,
+        OLD_11,
+        rebuilt(f"{IN_WINDOW} AND shipment_date NOT IN (SELECT shipment_date FROM base WHERE {BAD_ROW})"),
+    ),
+    "repair_cycle_dates": planted_report(
+        """SELECT CAST(shipment_date AS DATE) AS shipment_date, coalesce(row_count_source, 0) AS rows_written,
+       CASE WHEN row_count_source IS NULL THEN 'CLEARED' ELSE 'REPLACED' END AS action, CAST(0 AS BIGINT) AS bad_rows
+FROM report WHERE validation_result <> 'PASS'"""
+    ),
+    "frozen_guard_changed": with_ctes(
+        BASE,
+        NOW,
+        OLD_11,
+        f"""SELECT o.shipment_date, count(*) AS rows_before, count(*) AS rows_after
+FROM old_rows o JOIN now_rows n ON o.shipment_id = n.shipment_id
+WHERE o.shipment_date BETWEEN {AS_OF} - 70 AND {AS_OF} - 61 AND o.record_version <> n.record_version GROUP BY 1""",
     ),
     "repair_cycle": with_ctes(
         BASE,

@@ -30,7 +30,11 @@ SLOW = {
     "rebuild_empty_date",
     "rebuild_summary",
     "rebuild_by_date",
+    "rebuild_with_bad_date",
+    "rebuild_around_bad_date",
     "repair_cycle",
+    "repair_cycle_dates",
+    "frozen_guard_changed",
     "frozen_guard",
 }
 
