@@ -303,3 +303,19 @@ def test_licenses_of_odd_rows(spark):
     assert len(rows) == len(ODD)
     assert all(r[2] == brute_places(r[1])[0] and r[3:6] == (0, "", 0.0) and r[6] in ("clash", None) for r in rows)
     assert licenses.scan(no_documents(spark)).count() == 0
+
+
+def test_every_place_of_a_notice_that_repeats():
+    """Long stretches are searched in pieces: no place is lost at their borders, none is found twice."""
+    scanner = licenses.Scanner([("licensed under the bsd license", "bsd")])
+    for unit, edits in (("licensed under the bsd license", 0), ("licensd under the bsd licence", 2)):
+        for gap in ("", " then other words stand here"):
+            words = len((unit + gap).split())
+            flat, _ = scanner.normalised(f"{unit}{gap} " * 60)
+            found = scanner.fuzzy(flat)
+            assert [m.first_word for m in found] == [words * i for i in range(60)]
+            assert {m.edits for m in found} == {edits}
+
+
+def test_best_of_overlapping_matches():
+    assert licenses.disjoint([(0, 10, 2), (1, 9, 0), (9, 20, 1), (9, 20, 1)]) == [(1, 9, 0), (9, 20, 1)]

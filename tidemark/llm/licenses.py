@@ -8,9 +8,10 @@ with a bounded number of errors and gives its span.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
@@ -47,6 +48,8 @@ NOTICES = {
 
 #: One edit is allowed for so many characters of a notice.
 CHARS_PER_EDIT = 10
+#: Length of a searched piece in lengths of the notice.
+PIECE = 3
 
 _LETTERS = bytes(
     b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else b + 32 if 65 <= b <= 90 else 32 for b in range(256)
@@ -104,38 +107,75 @@ class Scanner:
         """First word and label of every place where a phrase stands."""
         if b" license " not in flat:
             return []
-        return sorted((flat.count(b" ", 0, m.start()) - 1, label) for p, label in self.phrases for m in p.finditer(flat))
+        before = word_counter(flat)
+        return sorted((before(m.start()) - 1, label) for p, label in self.phrases for m in p.finditer(flat))
 
     def fuzzy(self, flat: bytes) -> list[Match]:
-        """Places of notices with bounded edits, the best one where they overlap."""
-        found = []
-        windows: dict[Notice, list[list[int]]] = {}
+        """Places of notices with bounded edits, of those of one notice that overlap the one with fewest."""
+        starts: dict[Notice, set[int]] = {}
         for seed, users in self.seeds:
             at = flat.find(seed)
             while at >= 0:
                 for n, offset in users:
-                    start = max(0, at - offset - n.edits)
-                    windows.setdefault(n, []).append([start, at - offset + len(n.text) + 2 * n.edits])
+                    starts.setdefault(n, set()).add(at - offset)
                 at = flat.find(seed, at + 1)
-        for n, spans in windows.items():
-            spans.sort()
-            merged: list[list[int]] = []
-            for w in spans:
-                if merged and w[0] <= merged[-1][1]:
-                    merged[-1][1] = max(w[1], merged[-1][1])
-                else:
-                    merged.append(w)
-            for start, end in merged:
-                # Latin-1 gives each byte a character of its own, so places stay those of the bytes.
-                for m in n.pattern.finditer(flat[start : end + 1].decode("latin-1")):
-                    a, b = start + m.start(), start + m.end()
-                    edits = sum(m.fuzzy_counts)
-                    first = flat.count(b" ", 0, a + 1) - 1 if flat[a : a + 1] != b" " else flat.count(b" ", 0, a)
-                    found.append(
-                        Match(n.label, max(0, first), max(1, flat.count(b" ", 0, max(b - 1, 0))), edits, 1 - edits / len(n.text))
-                    )
+        found = []
+        before = word_counter(flat) if starts else None
+        for n, places in starts.items():
+            for a, b, edits in disjoint(self._near(flat, n, sorted(places))):
+                first = before(a) if flat[a : a + 1] == b" " else before(a + 1) - 1
+                last = before(max(b - 1, 0))
+                found.append(Match(n.label, max(0, first), max(1, last), edits, 1 - edits / len(n.text)))
         return sorted(set(found), key=lambda x: (x.first_word, x.end_word, x.label, x.edits))
 
+    def _near(self, flat: bytes, n: Notice, places: list[int]) -> Iterator[tuple[int, int, int]]:
+        """Start, end and edits of matches around the places where seeds say that a notice begins.
+
+        Stretches of near places are searched in pieces of a few notices' length, each reaching so far into the next
+        that no match is cut; so the time grows with the length of the text, however often seeds repeat.
+        """
+        reach = len(n.text) + 2 * n.edits
+        i = 0
+        while i < len(places):
+            j = i
+            while j + 1 < len(places) and places[j + 1] - places[j] <= reach + n.edits:
+                j += 1
+            end = min(len(flat), places[j] + reach + 1)
+            begin = max(0, places[i] - n.edits)
+            for start in range(begin, max(begin + 1, end - reach), PIECE * reach):
+                # Latin-1 gives each byte a character of its own, so places stay those of the bytes.
+                piece = flat[start : min(end, start + (PIECE + 1) * reach)].decode("latin-1")
+                for a, b, edits in self._best(n, piece, 0, len(piece)):
+                    yield start + a, start + b, edits
+            i = j + 1
+
+    def _best(self, n: Notice, piece: str, low: int, high: int) -> Iterator[tuple[int, int, int]]:
+        """The match with the fewest edits, and the best ones on either side of it."""
+        parts = [(low, high)]
+        while parts:
+            low, high = parts.pop()
+            m = n.pattern.search(piece, low, high) if high - low >= len(n.text) - n.edits else None
+            if m:
+                yield m.start(), m.end(), sum(m.fuzzy_counts)
+                parts += [(low, m.start()), (m.end(), high)]
+
+
+def word_counter(flat: bytes) -> Callable[[int], int]:
+    """Number of blanks before a byte of normalised text."""
+    blanks = np.flatnonzero(np.frombuffer(flat, dtype=np.uint8) == 32)
+    return lambda at: int(np.searchsorted(blanks, at))
+
+
+def disjoint(matches: Iterable[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
+    """Of matches (start, end, edits) that overlap the one kept before them, the one with fewer edits."""
+    kept: list[tuple[int, int, int]] = []
+    for match in sorted(set(matches)):
+        if not kept or match[0] >= kept[-1][1]:
+            kept.append(match)
+        elif match[2] < kept[-1][2]:
+            kept[-1] = match
+    return kept
+
 
 def scan(documents: DataFrame, notices: Iterable[tuple[str, str]] = tuple(NOTICES.items())) -> DataFrame:
     """Every row with its exact phrases and fuzzy notices.
