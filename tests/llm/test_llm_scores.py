@@ -89,6 +89,24 @@ def test_disguised_words_are_found(toxic_model, disguised):
     assert scorer.score("Of the thing in the end, 10 of 2024, a b.")[0] < toxicity.THRESHOLD
 
 
+LONG_PASSAGE = "it was the end of the thing and so " * 150 + "you are the idiot of the end"
+
+
+@pytest.mark.parametrize(
+    "text",
+    [
+        "  ".join(" ".join(w) for w in LONG_PASSAGE.split()),
+        "..".join(".".join(w) for w in LONG_PASSAGE.split()),
+        " ".join("youaretheclownoftheend" * 100),
+        "i" + "d" * 3000 + "iot",
+    ],
+)
+def test_long_disguised_spans_are_read(toxic_model, text):
+    scorer = toxicity.Scorer(toxic_model)
+    assert scorer.score(text)[0] >= toxicity.THRESHOLD
+    assert not any(len(span) > toxicity.LONGEST_KEPT for span in scorer.restorer.known)
+
+
 def test_near_copies_are_one_piece_of_evidence():
     rng = np.random.default_rng(0)
     one, other = rng.integers(0, 1 << 40, (2, 24))

@@ -54,8 +54,8 @@ LOOKALIKES = {
 #: Log-probabilities of the channel.
 SUBSTITUTED, STRETCHED, SEPARATED, KEPT_APART, LEFT_AS_SYMBOL = -1.0, -0.5, -0.2, -2.5, -7.0
 BEAM = 24
-#: A longer span is no word; it is read as it stands.
-LONGEST_SPAN = 400
+#: Readings of longer spans are not kept for the next time.
+LONGEST_KEPT = 400
 SEPARATORS = " .-_*~,/\\'"
 
 #: Words, prefixes of these lengths and their numbers in training.
@@ -133,9 +133,10 @@ def character_model(documents: DataFrame) -> np.ndarray:
 def restore(span: str, model: list) -> str:
     """The likeliest reading of a disguised span: letters, with spaces between words.
 
-    model: character_model() as nested lists. The state of the search is the last two symbols.
+    model: character_model() as nested lists. The state of the search is the last two symbols; each points back
+    along its reading, so that time grows with the length of the span and paths no state leads to are freed.
     """
-    states = {(0, 0): (0.0, "")}
+    states: dict[tuple[int, int], tuple[float, tuple | None]] = {(0, 0): (0.0, None)}
     before = ""
     for char in span:
         choices: list[tuple[str, float]] = []
@@ -151,8 +152,8 @@ def restore(span: str, model: list) -> str:
             choices.append((" ", LEFT_AS_SYMBOL if char in LOOKALIKES else KEPT_APART))
         if char == before and char not in SEPARATORS:
             choices.append(("", STRETCHED))
-        reached: dict[tuple[int, int], tuple[float, str]] = {}
-        for (a, b), (cost, text) in states.items():
+        reached: dict[tuple[int, int], tuple[float, tuple | None]] = {}
+        for (a, b), (cost, path) in states.items():
             row = model[a][b]
             for letter, channel in choices:
                 if not letter or (letter == " " and b == 0):
@@ -161,12 +162,22 @@ def restore(span: str, model: list) -> str:
                     s = _symbol(letter)
                     state, total = (b, s), cost + channel + row[s]
                 if state not in reached or total > reached[state][0]:
-                    reached[state] = (total, text + letter if letter else text)
+                    reached[state] = (total, (path, letter) if letter else path)
         if len(reached) > BEAM:
             reached = dict(sorted(reached.items(), key=lambda item: -item[1][0])[:BEAM])
         states = reached
         before = char
-    return max(((c + model[a][b][0], t) for (a, b), (c, t) in states.items()), key=lambda x: (x[0], x[1]))[1]
+    ends = [(cost + model[a][b][0], path) for (a, b), (cost, path) in states.items()]
+    best = max(total for total, _ in ends)
+    return max(_spelled(path) for total, path in ends if total == best)
+
+
+def _spelled(path: tuple | None) -> str:
+    letters = []
+    while path:
+        path, letter = path
+        letters.append(letter)
+    return "".join(reversed(letters))
 
 
 class Restorer:
@@ -181,7 +192,9 @@ class Restorer:
     def _read(self, span: str) -> list[str]:
         found = self.known.get(span)
         if found is None:
-            found = restore(span, self.model).split() if len(span) <= LONGEST_SPAN else []
+            found = restore(span, self.model).split()
+            if len(span) > LONGEST_KEPT:
+                return found
             if len(self.known) >= self.KEPT:
                 self.known.clear()
             self.known[span] = found
