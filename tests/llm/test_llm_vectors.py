@@ -64,6 +64,17 @@ def test_search_of_odd_vectors(spark):
     assert nearest.nearest(df.limit(0), F.col("vec_id") % 20 == 0).count() == 0
 
 
+@pytest.mark.parametrize("copies", [2, 25])
+def test_search_with_repeated_query_rows(spark, copies):
+    rng = np.random.default_rng(4)
+    vectors = rng.normal(size=(101, 16))
+    vectors = (vectors / np.linalg.norm(vectors, axis=1)[:, None]).astype(np.float32).tolist()
+    rows = [(20 if i == 0 else 1000 + 20 * i + 1, v) for i, v in enumerate(vectors)]
+    df = spark.createDataFrame([(i, v, 0, "", "") for i, v in rows + [rows[0]] * (copies - 1)], SCHEMA)
+    found = sorted((r["rank"], r.vec_id) for r in nearest.nearest(df, F.col("vec_id") == 20).collect())
+    assert found == [(n + 1, i) for n, (i, _) in enumerate(brute_neighbours(rows, 20)[20])]
+
+
 def test_chi_square_quantile():
     # Two degrees of freedom have a closed form.
     assert nearest.chi_square_quantile(0.95, 2) == pytest.approx(-2 * np.log(0.05))

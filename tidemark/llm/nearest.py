@@ -80,7 +80,7 @@ def search(
     planes = np.random.default_rng([SEED, dims]).normal(size=(dims + 1, PROJECTED))
     added = np.sqrt(np.maximum(0, longest - (vectors * vectors).sum(1)))
     tree = Tree(vectors @ planes[:-1] + added[:, None] * planes[-1])
-    ordered = [(rows, np.ascontiguousarray(vectors[rows])) for rows in tree.leaves]
+    ordered = [(rows, ids[rows], np.ascontiguousarray(vectors[rows])) for rows in tree.leaves]
     stop = chi_square_quantile(CONFIDENCE)
     found_query, found_row, found_score = [], [], []
     for query_id, query in zip(query_ids, queries):
@@ -91,20 +91,20 @@ def search(
             # The k-th best distance so far, by which an unseen row must be nearer.
             if worst > -np.inf and away >= stop * max(0.0, least - 2 * worst):
                 break
-            own, block = ordered[leaf]
+            own, own_ids, block = ordered[leaf]
             products = block @ query
+            # Rows with the query's own id are no candidates, however often it stands.
+            better = own_ids != query_id
             if worst > -np.inf:
-                better = products >= worst - 1e-9
-                if not better.any():
-                    continue
-                own, products = own[better], products[better]
-            rows, scores = np.concatenate([rows, own]), np.concatenate([scores, products])
-            if len(rows) > k + 1:
-                # One more than k, for the query itself may be among them; those level with the last stay.
-                worst = float(np.partition(scores, len(scores) - k - 1)[len(scores) - k - 1])
+                better &= products >= worst - 1e-9
+            if not better.any():
+                continue
+            rows, scores = np.concatenate([rows, own[better]]), np.concatenate([scores, products[better]])
+            if len(rows) >= k:
+                # Those level with the last stay.
+                worst = float(np.partition(scores, len(scores) - k)[len(scores) - k])
                 kept = scores >= worst - 1e-9
                 rows, scores = rows[kept], scores[kept]
-        rows = rows[ids[rows] != query_id]
         # The products again, in one order of summation for all rows, so that equal vectors tie exactly.
         scores = (vectors[rows] * query).sum(1)
         best = np.lexsort((ids[rows], -scores))[:k]
