@@ -107,6 +107,28 @@ def test_long_disguised_spans_are_read(toxic_model, text):
     assert not any(len(span) > toxicity.LONGEST_KEPT for span in scorer.restorer.known)
 
 
+@pytest.mark.parametrize(
+    "text",
+    [
+        "You are an i d i o t.",
+        "You are an i d i o t. Go home.",
+        "An i d i o t, i d i o t! Go",
+        'They said "i d i o t" to me.',
+        "They said \u201ci d i o t\u201d to me.",
+        "They said (i-d-i-o-t) to me.",
+        "I don't i d i o t i'm sure",
+        "*i d i o t* he said",
+    ],
+)
+def test_spaced_words_beside_marks_are_found(toxic_model, text):
+    assert "idiot" in toxicity.Scorer(toxic_model).score(text)[1]
+
+
+def test_spaced_letters_beside_a_long_rule(toxic_model):
+    text = "-" * 5000 + "text and " + "." * 5000 + "xy " + "a" + " " * 5000 + "bc"
+    assert toxicity.Scorer(toxic_model).score(text)[0] == toxicity.BASE_SCORE
+
+
 def test_near_copies_are_one_piece_of_evidence():
     rng = np.random.default_rng(0)
     one, other = rng.integers(0, 1 << 40, (2, 24))

@@ -57,6 +57,8 @@ BEAM = 24
 #: Readings of longer spans are not kept for the next time.
 LONGEST_KEPT = 400
 SEPARATORS = " .-_*~,/\\'"
+#: Separators between letters that stand in different tokens.
+_GAPS = " .-_*"
 
 #: Words, prefixes of these lengths and their numbers in training.
 PREFIXES = (4, 5, 6)
@@ -70,7 +72,8 @@ THRESHOLD = 0.3
 #: Score of a text without a word of the lexicon.
 BASE_SCORE = 0.02
 
-_SPACED = re.compile(r"(?<!\S)(?:\S[ .\-_*]{1,2}){2,}\S(?!\S)")
+# No unit is a separator, so that a text has one match at most from each place; letters and digits end it, marks do not.
+_SPACED = re.compile(r"(?<![^\W_])(?:[^\s.\-_*][ .\-_*]+){2,}[^\s.\-_*](?![^\W_])")
 _STRETCHED = re.compile(r"(.)\1\1")
 _DOUBLED = re.compile(r"(.)\1")
 _LOOKS = "".join(map(re.escape, LOOKALIKES))
@@ -222,10 +225,24 @@ class Restorer:
             if _STRETCHED.search(token) or len(_DOUBLED.findall(token)) > 2:
                 read.update(self._read(token))
         for match in _SPACED.finditer(text):
-            read.update(self._read(match.group()))
+            for span in _spaced_spans(text, match.start(), match.end()):
+                read.update(self._read(span))
         return plain, read
 
 
+def _spaced_spans(text: str, start: int, end: int) -> set[str]:
+    """The spaced letters of text[start:end]; where marks touch them, also without the letter that touches.
+
+    So the t of "don't" and the i of "i'm" are no letters of the word beside them.
+    """
+    starts, ends = [start], [end]
+    if start and not text[start - 1].isspace():
+        starts.append(end - len(text[start + 1 : end].lstrip(_GAPS)))
+    if end < len(text) and not text[end].isspace():
+        ends.append(start + len(text[start : end - 1].rstrip(_GAPS)))
+    return {text[a:b] for a in starts for b in ends}
+
+
 def features(words: set[str]) -> set[str]:
     """Whole words and their beginnings."""
     found = set(words)
