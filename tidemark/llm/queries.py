@@ -10,6 +10,7 @@ from tidemark.llm import (
     jaccard_join,
     language,
     licenses,
+    line_dedup,
     mixing,
     nearest,
     packing,
@@ -108,6 +109,11 @@ def op10_license_scan(spark, sf_dir):
     )
 
 
+def op13_line_dedup(spark, sf_dir):
+    kept = line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
 QUERIES = {
     query.__name__: query
     for query in (
@@ -121,5 +127,6 @@ QUERIES = {
         op8_mixing,
         op9_jaccard_join,
         op10_license_scan,
+        op13_line_dedup,
     )
 }

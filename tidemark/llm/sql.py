@@ -84,8 +84,31 @@ SELECT d.doc_id, s.class_id, coalesce(c.n, 0)::BIGINT AS n_links, d.doc_id = s.c
 FROM documents d JOIN smallest s ON d.doc_id = s.a LEFT JOIN counts c ON d.doc_id = c.a
 """
 
+LINE_DEDUP = r"""
+WITH numbered AS (
+    SELECT doc_id, coalesce(text, '') AS text, row_number() OVER () AS r FROM documents
+), split AS (
+    SELECT r, doc_id, string_split(text, chr(10)) AS l FROM numbered
+), lines AS (
+    SELECT r, doc_id, unnest(range(1, len(l) + 1)) AS i, unnest(l) AS line FROM split
+), keyed AS (
+    SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+    FROM lines
+), repeated AS (
+    SELECT key, min(doc_id) AS keeper FROM keyed WHERE length(key) >= 10 GROUP BY key
+    HAVING count(DISTINCT doc_id) + max(doc_id IS NULL)::INT >= 2
+), judged AS (
+    SELECT k.*, x.key IS NOT NULL AND k.doc_id IS DISTINCT FROM x.keeper AS gone FROM keyed k LEFT JOIN repeated x USING (key)
+)
+SELECT any_value(doc_id) AS doc_id, count(*)::BIGINT AS n_lines, count(*) FILTER (gone)::BIGINT AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256
+FROM judged GROUP BY r
+"""
+
 ORACLE_SQL = {
     "op6_embedding_dedup": EMBEDDING_DEDUP,
     "op8_mixing": MIXING,
     "op9_jaccard_join": JACCARD_JOIN,
+    "op13_line_dedup": LINE_DEDUP,
 }
