@@ -6,11 +6,13 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from tidemark.llm import (
+    conversations,
     embedding_dedup,
     jaccard_join,
     language,
     licenses,
     line_dedup,
+    merkle,
     mixing,
     nearest,
     packing,
@@ -27,6 +29,8 @@ QUALITY_FOLDS, QUALITY_HELD = 5, 0
 LANGUAGE_FOLDS, LANGUAGE_HELD = 4, 2
 TOKEN_LIMIT = 1024
 NEIGHBOURS, QUERY_EVERY = 20, 20
+TAMPERED_EVERY = 7
+DAMAGE_CODES = 20
 
 
 def _held_out(folds, held):
@@ -109,6 +113,48 @@ def op10_license_scan(spark, sf_dir):
     )
 
 
+def op11_merkle(spark, sf_dir):
+    """Every document with its proof; a null doc_id is not tampered with."""
+    tampered = F.when(
+        F.crc32(F.col("doc_id").cast("string").cast("binary")) % TAMPERED_EVERY == 0,
+        F.col("n_chars").cast("decimal(20)") + 1,
+    ).otherwise(F.col("n_chars").cast("decimal(20)"))
+
+    def leaf(n_chars):
+        return merkle.digest_of(F.col("doc_id"), F.col("source"), F.col("lang"), n_chars, F.col("text"))
+
+    leaves = table(spark, sf_dir, "documents").select(
+        "doc_id", "lang", leaf(F.col("n_chars")).alias("leaf"), leaf(tampered).alias("given")
+    )
+    return (
+        merkle.manifest(leaves, "leaf", "lang", ["doc_id"])
+        .withColumn("folded_root", merkle.folded(F.col("given"), "proof"))
+        .select(
+            "doc_id",
+            "leaf",
+            "subroot",
+            "root",
+            merkle.proof_digest("proof").alias("proof_sha256"),
+            "folded_root",
+            (F.col("folded_root") == F.col("root")).alias("verified"),
+        )
+    )
+
+
+def op12_conversation_repair(spark, sf_dir):
+    """Conversations damaged by a code of each row, and what repairs them."""
+    code = conversations.damage_code("conv_id", "turn", DAMAGE_CODES)
+    role, text = (F.coalesce(name, F.lit(" ")) for name in ("role", "text"))
+    damaged = table(spark, sf_dir, "conversations").select(
+        "conv_id",
+        "turn",
+        F.when(code == 0, "").when(code == 4, "user").otherwise(role).alias("role"),
+        F.when(code <= 1, "").when(code == 2, F.translate(text, conversations.ENDS, "")).otherwise(text).alias("text"),
+        F.when(code == 0, 0).when(code == 3, 2).otherwise(1).alias("copies"),
+    )
+    return conversations.audit(damaged)
+
+
 def op13_line_dedup(spark, sf_dir):
     kept = line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
@@ -127,6 +173,8 @@ QUERIES = {
         op8_mixing,
         op9_jaccard_join,
         op10_license_scan,
+        op11_merkle,
+        op12_conversation_repair,
         op13_line_dedup,
     )
 }

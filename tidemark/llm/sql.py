@@ -84,6 +84,147 @@ SELECT d.doc_id, s.class_id, coalesce(c.n, 0)::BIGINT AS n_links, d.doc_id = s.c
 FROM documents d JOIN smallest s ON d.doc_id = s.a LEFT JOIN counts c ON d.doc_id = c.a
 """
 
+#: The table of the CRC-32 with the reversed polynomial 0xEDB88320, and the CRC of doc_id as text.
+_CRC_TABLE = """
+crc_table AS (
+    SELECT list(list_reduce(list_prepend(n, range(8)), lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)
+                ORDER BY n) AS t
+    FROM range(256) r(n)
+)"""
+
+MERKLE = f"""
+WITH RECURSIVE {_CRC_TABLE}, checked AS (
+    SELECT *, xor(4294967295, list_reduce(
+               list_prepend(4294967295, list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ord(c)::BIGINT)),
+               lambda crc, b: xor(crc >> 8, t[(xor(crc, b) & 255) + 1]))) % 7 = 0 AS tampered
+    FROM documents, crc_table
+), leaves AS (
+    SELECT doc_id, lang, row_number() OVER (PARTITION BY lang ORDER BY doc_id) - 1 AS pos,
+           sha256(head || n || tail) AS leaf,
+           sha256(head || CASE WHEN tampered AND n_chars IS NOT NULL
+                               THEN strlen((n_chars + 1)::VARCHAR) || ':' || (n_chars + 1) ELSE n END || tail) AS given
+    FROM (SELECT *, coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-')
+                    || coalesce(strlen(source) || ':' || source, '-') || coalesce(strlen(lang) || ':' || lang, '-') AS head,
+                 coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-') AS n,
+                 coalesce(strlen(text) || ':' || text, '-') AS tail FROM checked)
+), trees AS (
+    SELECT lang, 0 AS level, list(leaf ORDER BY pos) AS nodes FROM leaves GROUP BY lang
+    UNION ALL
+    SELECT lang, level + 1, [sha256(nodes[2 * i + 1] || coalesce(nodes[2 * i + 2], '')) FOR i IN range((len(nodes) + 1) // 2)]
+    FROM trees WHERE len(nodes) > 1
+), subroots AS (
+    SELECT lang, nodes[1] AS subroot, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS pos FROM trees WHERE len(nodes) = 1
+), top AS (
+    SELECT 0 AS level, list(subroot ORDER BY pos) AS nodes FROM subroots
+    UNION ALL
+    SELECT level + 1, [sha256(nodes[2 * i + 1] || coalesce(nodes[2 * i + 2], '')) FOR i IN range((len(nodes) + 1) // 2)]
+    FROM top WHERE len(nodes) > 1
+), steps AS (
+    SELECT l.lang, l.pos, t.level, CASE WHEN (l.pos >> t.level) & 1 = 1 THEN '<' ELSE '>' END
+           || coalesce(t.nodes[xor(l.pos >> t.level, 1) + 1], '') AS step
+    FROM leaves l JOIN trees t ON l.lang IS NOT DISTINCT FROM t.lang AND len(t.nodes) > 1
+    UNION ALL
+    SELECT l.lang, l.pos, 1000 + t.level, CASE WHEN (s.pos >> t.level) & 1 = 1 THEN '<' ELSE '>' END
+           || coalesce(t.nodes[xor(s.pos >> t.level, 1) + 1], '')
+    FROM leaves l JOIN subroots s ON l.lang IS NOT DISTINCT FROM s.lang JOIN top t ON len(t.nodes) > 1
+), proofs AS (
+    SELECT lang, pos, list(step ORDER BY level) AS steps FROM steps GROUP BY lang, pos
+), folded AS (
+    SELECT l.*, s.subroot, (SELECT nodes[1] FROM top WHERE len(nodes) = 1) AS root,
+           sha256(coalesce(list_reduce(list_prepend('', coalesce(p.steps, [])), lambda a, x: a || x[2:]), '')) AS proof_sha256,
+           list_reduce(list_prepend(l.given, coalesce(p.steps, [])),
+                       lambda a, x: sha256(CASE WHEN x[1] = '<' THEN x[2:] || a ELSE a || x[2:] END)) AS folded_root
+    FROM leaves l JOIN subroots s ON l.lang IS NOT DISTINCT FROM s.lang
+    LEFT JOIN proofs p ON l.lang IS NOT DISTINCT FROM p.lang AND l.pos = p.pos
+)
+SELECT doc_id, leaf, subroot, root, proof_sha256, folded_root, folded_root = root AS verified FROM folded
+"""
+
+
+
+def _edited(way: str, letter: str, cost: str, message: str = "") -> str:
+    """A way with one more edit; null where there is no way."""
+    more = f" || chr(10) || {message}" if message else ""
+    return f"CASE WHEN {way} IS NOT NULL THEN {{'c': {way}.c + {cost}, 'a': {way}.a || '{letter}', 't': {way}.t{more}}} END"
+
+
+def _inserted(way: str, role: str) -> str:
+    return _edited(way, "I", "3", f"'{role}:'")
+
+
+def _least(*ways: str) -> str:
+    return f"list_min([{', '.join(ways)}])"
+
+
+def _row_step(state: int, after: tuple[int, ...], initial: str, role: str) -> str:
+    """The cheapest way to a state after one more row: deleted, kept after some states, or with another role."""
+    ways = [_edited(f"i{state}", "D", "4")]
+    for before in after:
+        kept = _edited(f"i{before}", "K", "extra", "role || ':' || text")
+        ways.append(f"CASE WHEN NOT gone AND initial = '{initial}' THEN {kept} END")
+        if role:
+            turned = _edited(f"i{before}", "R", "3 + extra", f"'{role}:' || text")
+            ways.append(f"CASE WHEN NOT gone THEN {turned} END")
+    return f"{_least(*ways)} AS b{state}"
+
+
+CONVERSATION_REPAIR = f"""
+WITH RECURSIVE {_CRC_TABLE}, coded AS (
+    SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+           xor(4294967295, list_reduce(
+               list_prepend(4294967295, list_transform(
+                   string_split(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '), ''),
+                   lambda c: ord(c)::BIGINT)),
+               lambda crc, b: xor(crc >> 8, t[(xor(crc, b) & 255) + 1]))) % 20 AS code
+    FROM conversations, crc_table
+), damaged AS (
+    SELECT conv_id, turn, CASE WHEN code = 4 THEN 'user' ELSE role END AS role,
+           CASE code WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+           unnest(range(CASE code WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS copy
+    FROM coded
+), numbered AS (
+    SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS i,
+           row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) > 1 AS seen, left(role, 1) AS initial,
+           trim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS body
+    FROM damaged
+), marked AS (
+    SELECT *, body = '' AS blank, body <> '' AND seen AS dup, body = '' OR seen AS gone,
+           CASE WHEN body <> '' AND NOT seen AND right(body, 1) NOT IN ('.', '!', '?') THEN 3 ELSE 0 END AS extra,
+           lag(initial) OVER (PARTITION BY conv_id ORDER BY i) || initial AS pair
+    FROM numbered
+), totals AS (
+    SELECT conv_id, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+           count(*) FILTER (blank) AS blank, count(*) FILTER (dup) AS duplicate, count(*) FILTER (extra > 0) AS truncated,
+           count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal
+    FROM marked GROUP BY conv_id
+), ways AS (
+    SELECT DISTINCT conv_id, 0 AS i, {{'c': 0::BIGINT, 'a': '', 't': ''}} AS b0, NULL::STRUCT(c BIGINT, a VARCHAR, t VARCHAR) AS b1,
+           NULL::STRUCT(c BIGINT, a VARCHAR, t VARCHAR) AS b2, NULL::STRUCT(c BIGINT, a VARCHAR, t VARCHAR) AS b3
+    FROM conversations
+    UNION ALL
+    SELECT conv_id, i, {_row_step(0, (), "", "")}, {_row_step(1, (0,), "s", "")},
+           {_row_step(2, (0, 1, 3), "u", "user")}, {_row_step(3, (2,), "a", "assistant")}
+    FROM (
+        SELECT conv_id, i, role, text, initial, gone, extra, b0 AS i0, b1 AS i1,
+               {_least("once2", _inserted("once3", "user"))} AS i2, {_least("once3", _inserted("once2", "assistant"))} AS i3
+        FROM (
+            SELECT m.conv_id, m.i, role, text, initial, gone, extra, b0, b1,
+                   {_least("b2", _inserted("b0", "user"), _inserted("b1", "user"), _inserted("b3", "user"))} AS once2,
+                   {_least("b3", _inserted("b2", "assistant"))} AS once3
+            FROM ways w JOIN marked m ON w.conv_id IS NOT DISTINCT FROM m.conv_id AND m.i = w.i + 1
+        )
+    )
+), ended AS (
+    SELECT w.conv_id, t.* EXCLUDE (conv_id), {_least("b0", "b3", _inserted("b2", "assistant"), "closed")} AS best
+    FROM (SELECT *, {_edited("b1", "II", "6", "'user:' || chr(10) || 'assistant:'")} AS closed FROM ways) w
+    LEFT JOIN totals t ON w.conv_id IS NOT DISTINCT FROM t.conv_id WHERE w.i = coalesce(t.n, 0)
+)
+SELECT conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank,
+       coalesce(duplicate, 0)::BIGINT AS duplicate, coalesce(truncated, 0)::BIGINT AS truncated,
+       coalesce(illegal, 0)::BIGINT AS illegal, best.c AS cost, best.a AS audit, sha256(best.t[2:]) AS repaired_sha256
+FROM ended
+"""
+
 LINE_DEDUP = r"""
 WITH numbered AS (
     SELECT doc_id, coalesce(text, '') AS text, row_number() OVER () AS r FROM documents
@@ -110,5 +251,7 @@ ORACLE_SQL = {
     "op6_embedding_dedup": EMBEDDING_DEDUP,
     "op8_mixing": MIXING,
     "op9_jaccard_join": JACCARD_JOIN,
+    "op11_merkle": MERKLE,
+    "op12_conversation_repair": CONVERSATION_REPAIR,
     "op13_line_dedup": LINE_DEDUP,
 }
