@@ -36,7 +36,10 @@ _ONCE_SCHEMA = "cell long, once binary, twice binary"
 
 
 def line_key(line: Column) -> Column:
-    return F.translate(F.btrim(line, F.lit(BLANKS)), UPPER, LOWER)
+    """A line without blanks at its ends, A-Z lowered; lowering all letters is faster where all of them are ASCII."""
+    body = F.btrim(line, F.lit(BLANKS))
+    ascii_only = F.octet_length(body) == F.char_length(body)
+    return F.when(ascii_only, F.lower(body)).otherwise(F.translate(body, UPPER, LOWER))
 
 
 def key_of(line: str) -> str:
@@ -79,7 +82,7 @@ def _lines(texts: DataFrame, least_chars: int) -> DataFrame:
 
 def _cells(texts: DataFrame) -> int:
     """Cells that give every line of the corpus its bits."""
-    breaks = F.octet_length("text") - F.octet_length(F.translate("text", "\n", ""))
+    breaks = F.octet_length("text") - F.octet_length(F.replace("text", F.lit("\n"), F.lit("")))
     lines = texts.agg(F.sum((breaks + 1).cast("long"))).first()[0] or 1
     return -(-lines * BITS_PER_LINE // CELL_BITS)
 
@@ -173,8 +176,9 @@ def _drops(suspects: DataFrame) -> DataFrame:
         .filter((F.col("keeper") != F.col("last")) | F.col("mixed"))
         .select("key", "keeper")
     )
+    # Written first, so that the join reads two shuffles and Spark can split the rows of a hot line.
     return (
-        suspects.join(kept, "key")
+        suspects.join(checkpointed(kept), "key")
         .filter(~F.col("doc_id").eqNullSafe(F.col("keeper")))
         .groupBy("doc_id", "text_hash")
         .agg(F.collect_list("key").alias("keys"))
