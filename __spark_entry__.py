@@ -14,22 +14,20 @@ from pyspark.sql import functions as F
 
 from oracle_queries import ORACLE_SQL
 from tidemark.functions.bands import BANDS
-from tidemark.functions.dates import in_window, lookback_window, window_spine
+from tidemark.functions.dates import Window, in_window, lookback_window, window_spine
 from tidemark.operators import profile as pf
 from tidemark.operators import reconcile as rc
 from tidemark.operators.align import align
-from tidemark.operators.arrivals import nightly_arrivals as arrivals_of, smallest_ids
+from tidemark.operators.arrivals import arrive, nightly_arrivals as arrivals_of, smallest_ids
 from tidemark.operators.expand import base_rows_only, copies_of, expand, id_distance
+from tidemark.operators.ids import IdLedger
+from tidemark.operators.ledger import DATE, DigestLedger
 from tidemark.operators.numbering import dense_ids
+from tidemark.operators.setdiff import sparse_row_differences
 from tidemark.operators.settle import advance_boundary as advanced, band_assignments, crosses_boundary, settle
 from tidemark.operators.sink import StagedDates, append, full_load as load, publish, stage, update_rows
-from tidemark.plans.rebuild import (
-    frozen_changes,
-    frozen_checksums,
-    rebuild,
-    rebuild_dates,
-    repair,
-)
+from tidemark.plans.load import LoadProgress, resumable_load
+from tidemark.plans.rebuild import rebuild, rebuild_dates, repair
 from tidemark.plans.strategies import compare_strategies
 from tidemark.plans.validate import validation
 from tidemark.schema import KEY_COLUMN, PARTITION_COLUMN, create_table
@@ -54,6 +52,9 @@ else:
 # The day after the newest order date, at every scale factor.
 AS_OF = date(2001, 8, 2)
 WINDOW = lookback_window(AS_OF)
+# A date that cannot be read, and the date from which on a load fails.
+BROKEN_DATE = AS_OF - timedelta(days=23)
+LOST_FROM = date(1998, 6, 1)
 
 
 def _base(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -209,6 +210,18 @@ def arrival_delta(spark, sf_dir):
     )
 
 
+def nightly_arrivals_month(spark, sf_dir):
+    """Thirty nights in a row: each night's rows seed the next, and ids come from the ledger."""
+    base = _base(spark, sf_dir).filter(F.col("shipment_date") >= F.lit(AS_OF - timedelta(days=7)))
+    table = _new_table(spark, "month")
+    append(base, table)
+    ids = IdLedger(spark, f"{table}_ids")
+    ids.start(_base(spark, sf_dir).agg(F.max("shipment_id")).first()[0])
+    for night in range(30):
+        arrive(spark, table, AS_OF + timedelta(days=night), ids)
+    return shipments(spark, table).filter(F.col("shipment_date") > F.lit(AS_OF))
+
+
 # Profiles
 
 
@@ -308,7 +321,7 @@ def deep_reconcile(spark, sf_dir):
 def partition_row_diff(spark, sf_dir):
     source = _planted_source(_settled(spark, sf_dir))
     sink = _planted_sink(_settled(spark, sf_dir, 3))
-    return rc.row_differences(scan_window(source, WINDOW), scan_window(sink, WINDOW))
+    return sparse_row_differences(scan_window(source, WINDOW), scan_window(sink, WINDOW))
 
 
 def _order_lines(spark, sf_dir):
@@ -336,7 +349,7 @@ def partition_row_diff_repeated(spark, sf_dir):
     sink = lines.filter((key % 7 != 0) & ~((key % 5 == 0) & (version == 3))).withColumn(
         "record_version", F.when(moved, F.lit(4)).otherwise(version)
     )
-    return rc.row_differences(lines, sink)
+    return sparse_row_differences(lines, sink)
 
 
 def failing_dates(spark, sf_dir):
@@ -352,6 +365,34 @@ def full_load(spark, sf_dir):
     return shipments(spark, table)
 
 
+def _stopped_load(spark, sf_dir):
+    """A load whose source fails from one date on, run again with the whole source: table, batches of both runs."""
+    table = _new_table(spark, "resumed")
+    progress = LoadProgress(spark, f"{table}_progress")
+    rows = _settled(spark, sf_dir)
+    lost = F.when(F.col(PARTITION_COLUMN) >= F.lit(LOST_FROM), F.raise_error(F.lit("the source is gone")).cast("string"))
+    failing = rows.withColumn("payload", F.coalesce(lost, "payload"))
+    per_batch = -(-rows.count() // 10)
+    try:
+        resumable_load(failing, table, progress, per_batch)
+    except Exception as error:
+        if "the source is gone" not in str(error):
+            raise
+    before = spark.table(progress.table).agg(F.sum("dates_written"), F.sum("rows_written")).first()
+    resumed = resumable_load(rows, table, progress, per_batch)
+    return table, tuple(before), (sum(len(b.dates) for b in resumed), sum(b.rows for b in resumed))
+
+
+def full_load_resumed(spark, sf_dir):
+    return shipments(spark, _stopped_load(spark, sf_dir)[0])
+
+
+def full_load_progress(spark, sf_dir):
+    """Dates and rows that the run that stopped wrote, and the run after it."""
+    _, before, after = _stopped_load(spark, sf_dir)
+    return spark.createDataFrame([(1, *before), (2, *after)], "run int, dates_written bigint, rows_written bigint")
+
+
 def append_insert(spark, sf_dir):
     """History first, the window appended to it."""
     table = _new_table(spark, "append")
@@ -443,6 +484,26 @@ def rebuild_around_bad_date(spark, sf_dir):
     return shipments(spark, table)
 
 
+def _with_failing_read(df: DataFrame) -> DataFrame:
+    """A source that breaks while one date is read."""
+    broken = F.col(PARTITION_COLUMN) == F.lit(BROKEN_DATE)
+    error = F.raise_error(F.lit("unreadable block")).cast("string")
+    return df.withColumn("payload", F.when(broken, error).otherwise(F.col("payload")))
+
+
+def rebuild_with_failing_read(spark, sf_dir):
+    """One date cannot be read: it fails, all others are rebuilt."""
+    table = _new_table(spark, "failing", _history(spark, sf_dir, 11))
+    return rebuild(_with_failing_read(_settled(spark, sf_dir)), table, AS_OF).by_date(spark)
+
+
+def rebuild_around_failing_read(spark, sf_dir):
+    """The table after such a rebuild: the failed date is as it was."""
+    table = _new_table(spark, "around_failing", _history(spark, sf_dir, 11))
+    rebuild(_with_failing_read(_settled(spark, sf_dir)), table, AS_OF)
+    return shipments(spark, table)
+
+
 def _repaired(spark, sf_dir):
     """Planted defects found and the failing dates rebuilt: the repair, and a new comparison of the window."""
     source = _planted_source(_settled(spark, sf_dir))
@@ -466,30 +527,39 @@ def repair_cycle_dates(spark, sf_dir):
     return _repaired(spark, sf_dir)[0].by_date(spark)
 
 
-def _frozen_around_rebuild(spark, sf_dir, missed_nights=0):
-    """Checksums of the frozen dates before and after a rebuild of a table eleven nights old."""
+def _ledger_around_rebuild(spark, sf_dir, missed_nights=0):
+    """A table eleven nights old, rebuilt by a run that records it: its ledger and the version before the run."""
     table = _new_table(spark, "frozen", _history(spark, sf_dir, 11))
-    kept = scratch_path(spark, "frozen_before")
-    before = frozen_checksums(shipments(spark, table), WINDOW)
-    before.write.parquet(kept)
-    before = spark.read.schema(before.schema).parquet(kept)
-    rebuild(_settled(spark, sf_dir), table, AS_OF, missed_nights=missed_nights)
-    return before, frozen_checksums(shipments(spark, table), WINDOW)
+    ledger = DigestLedger(spark, table, f"{table}_digests")
+    before = ledger.start()
+    rebuild(_settled(spark, sf_dir), table, AS_OF, missed_nights=missed_nights, ledger=ledger)
+    return ledger, before
 
 
 def frozen_guard_changed(spark, sf_dir):
     """A rebuild that makes up for missed nights changes dates that count as frozen by now; they are named."""
-    return frozen_changes(*_frozen_around_rebuild(spark, sf_dir, missed_nights=10))
+    ledger, before = _ledger_around_rebuild(spark, sf_dir, missed_nights=10)
+    return ledger.changes(WINDOW.first, before)
+
+
+def frozen_guard_unrecorded(spark, sf_dir):
+    """Frozen months replaced without the ledger being told, one by the rows it had: only dates of the other are named."""
+    ledger, before = _ledger_around_rebuild(spark, sf_dir)
+    same, other = Window(date(2001, 3, 1), date(2001, 3, 31)), Window(date(2001, 4, 1), date(2001, 4, 30))
+    rows = shipments(spark, ledger.sink).filter(~in_window(other) | (F.col(KEY_COLUMN) % 2 == 0))
+    rebuild_dates(rows, ledger.sink, same.dates() + other.dates())
+    return ledger.changes(WINDOW.first, before)
 
 
 def frozen_guard(spark, sf_dir):
     """Frozen dates and rows, and how many of those dates a rebuild changed."""
-    before, after = _frozen_around_rebuild(spark, sf_dir)
-    changed = frozen_changes(before, after).agg(F.count("*")).scalar()
-    return after.agg(
+    ledger, before = _ledger_around_rebuild(spark, sf_dir)
+    frozen = ledger.nodes(DATE).filter((F.col("node") < F.lit(WINDOW.first)) & (F.col("row_count") > 0))
+    return frozen.agg(
         F.count("*").alias("frozen_dates"),
         F.sum("row_count").alias("frozen_rows"),
-    ).withColumn("changed_dates", changed)
+        F.lit(ledger.changes(WINDOW.first, before).count()).alias("changed_dates"),
+    )
 
 
 def strategy_comparison(spark, sf_dir):
@@ -543,6 +613,7 @@ def table_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         expand_resumed,
         nightly_arrivals,
         nightly_arrivals_capped,
+        nightly_arrivals_month,
         arrival_delta,
         table_overview,
         status_breakdown,
@@ -566,6 +637,8 @@ def table_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         partition_row_diff_repeated,
         failing_dates,
         full_load,
+        full_load_resumed,
+        full_load_progress,
         append_insert,
         update_in_place,
         advance_boundary,
@@ -579,10 +652,13 @@ def table_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         rebuild_by_date,
         rebuild_with_bad_date,
         rebuild_around_bad_date,
+        rebuild_with_failing_read,
+        rebuild_around_failing_read,
         repair_cycle,
         repair_cycle_dates,
         frozen_guard,
         frozen_guard_changed,
+        frozen_guard_unrecorded,
         strategy_comparison,
         strategy_comparison_repeated,
         validation_widened,

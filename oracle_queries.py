@@ -228,6 +228,18 @@ ORACLE_SQL = {
     "nightly_arrivals_capped": with_ctes(
         BASE, ARRIVALS, f"SELECT {COLUMNS} FROM arrivals ORDER BY shipment_id LIMIT 1"
     ),
+    "nightly_arrivals_month": with_ctes(
+        BASE,
+        f"""seeds AS (
+  SELECT *, row_number() OVER (ORDER BY shipment_id) AS rank, count(*) OVER () AS n, (SELECT max(shipment_id) FROM base) AS largest
+  FROM base WHERE shipment_date = (SELECT max(shipment_date) FROM base WHERE shipment_date <= {AS_OF}))""",
+        "nights AS (SELECT i FROM generate_series(0, 29) AS g(i))",
+        f"""SELECT largest + i * n + rank AS shipment_id, CAST({AS_OF} + 1 + CAST(i AS INTEGER) AS DATE) AS shipment_date, record_version,
+       settlement_status, carrier_code, origin_region, destination_region, estimated_cost, actual_cost, weight_lbs,
+       concat('SHIPMENT-NIGHTLY-NEW-',
+              CAST(CASE i WHEN 0 THEN shipment_id ELSE largest + (i - 1) * n + rank END % 10000 AS VARCHAR)) AS payload
+FROM seeds, nights""",
+    ),
     "arrival_delta": with_ctes(
         BASE,
         ARRIVALS,
@@ -360,6 +372,16 @@ FROM a FULL OUTER JOIN b ON a.shipment_id = b.shipment_id WHERE a.rows_of_id IS
         "SELECT shipment_date, validation_result FROM report WHERE validation_result <> 'PASS'"
     ),
     "full_load": with_ctes(BASE, NOW, f"SELECT {COLUMNS} FROM now_rows"),
+    "full_load_resumed": with_ctes(BASE, NOW, f"SELECT {COLUMNS} FROM now_rows"),
+    "full_load_progress": with_ctes(
+        BASE,
+        "dates AS (SELECT shipment_date, count(*) AS n FROM base GROUP BY 1)",
+        "cut AS (SELECT *, (sum(n) OVER (ORDER BY shipment_date) - n) // ((SELECT count(*) + 9 FROM base) // 10) AS batch FROM dates)",
+        """runs AS (SELECT CASE WHEN max(shipment_date) < DATE '1998-06-01' THEN 1 ELSE 2 END AS run,
+                 count(*) AS dates_written, sum(n) AS rows_written FROM cut GROUP BY batch)""",
+        """SELECT CAST(run AS INTEGER) AS run, CAST(sum(dates_written) AS BIGINT) AS dates_written,
+       CAST(sum(rows_written) AS BIGINT) AS rows_written FROM runs GROUP BY run""",
+    ),
     "append_insert": with_ctes(BASE, NOW, f"SELECT {COLUMNS} FROM now_rows"),
     "update_in_place": with_ctes(BASE, NOW, f"SELECT {COLUMNS} FROM now_rows"),
     "advance_boundary": with_ctes(BASE, NOW, OLD_1, rebuilt(f"shipment_date = {AS_OF} - 31")),
@@ -418,6 +440,17 @@ FROM spine LEFT JOIN base ON shipment_date = d GROUP BY d""",
         OLD_11,
         rebuilt(f"{IN_WINDOW} AND shipment_date NOT IN (SELECT shipment_date FROM base WHERE {BAD_ROW})"),
     ),
+    "rebuild_with_failing_read": with_ctes(
+        BASE,
+        SPINE,
+        f"""SELECT d AS shipment_date, CASE WHEN d = {AS_OF} - 23 THEN 0 ELSE count(shipment_id) END AS rows_written,
+       CASE WHEN count(shipment_id) = 0 THEN 'ABSENT' WHEN d = {AS_OF} - 23 THEN 'FAILED' ELSE 'REPLACED' END AS action,
+       CAST(0 AS BIGINT) AS bad_rows
+FROM spine LEFT JOIN base ON shipment_date = d GROUP BY d""",
+    ),
+    "rebuild_around_failing_read": with_ctes(
+        BASE, NOW, OLD_11, rebuilt(f"{IN_WINDOW} AND shipment_date <> {AS_OF} - 23")
+    ),
     "repair_cycle_dates": planted_report(
         """SELECT CAST(shipment_date AS DATE) AS shipment_date, coalesce(row_count_source, 0) AS rows_written,
        CASE WHEN row_count_source IS NULL THEN 'CLEARED' ELSE 'REPLACED' END AS action, CAST(0 AS BIGINT) AS bad_rows
@@ -439,6 +472,12 @@ WHERE o.shipment_date BETWEEN {AS_OF} - 70 AND {AS_OF} - 61 AND o.record_version
         REPORT,
         "SELECT * FROM report",
     ),
+    "frozen_guard_unrecorded": with_ctes(
+        BASE,
+        """SELECT shipment_date, count(*) AS rows_before,
+       nullif(count(*) FILTER (WHERE shipment_id % 2 = 0), 0) AS rows_after
+FROM base WHERE shipment_date BETWEEN DATE '2001-04-01' AND DATE '2001-04-30' GROUP BY 1 HAVING count(*) > count(*) FILTER (WHERE shipment_id % 2 = 0)""",
+    ),
     "frozen_guard": with_ctes(
         BASE,
         "SELECT count(DISTINCT shipment_date) AS frozen_dates, count(*) AS frozen_rows, "

@@ -35,6 +35,12 @@ SLOW = {
     "repair_cycle",
     "repair_cycle_dates",
     "frozen_guard_changed",
+    "frozen_guard_unrecorded",
+    "nightly_arrivals_month",
+    "full_load_resumed",
+    "full_load_progress",
+    "rebuild_with_failing_read",
+    "rebuild_around_failing_read",
     "frozen_guard",
 }
 

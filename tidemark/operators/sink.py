@@ -18,11 +18,13 @@ Read the table through the catalog, not by path, and let one job write at a time
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
+from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 from dataclasses import dataclass
 from datetime import date
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,6 +39,8 @@ FAILED = "FAILED"
 
 # Fixed bound on partitions named in one catalog statement.
 _PARTITIONS_PER_STATEMENT = 200
+# Fixed bound on catalog statements that run at a time.
+_STATEMENTS_AT_ONCE = 8
 
 _DATE_PREFIX = f"{PARTITION_COLUMN}="
 # In staged files only: what is wrong with a row.
@@ -115,12 +119,13 @@ def full_load(df: DataFrame, table: str, location: str | None = None, clustered:
     """
     spark = df.sparkSession
     create_table(spark, table, location)
-    stored = _partition_dates(spark, table)
+    stored = partition_dates(spark, table)
     opened = _HadoopPath(spark, f"{_table_location(spark, table)}/_open").children()
     if stored and not any(run.startswith(_LOAD) for run in opened):
         raise ValueError(f"{table} already holds data")
     with _run(spark, table, _LOAD) as folder:
-        staged = stage(df, folder, clustered)
+        with _discarded_on_error(spark, table, folder):
+            staged = stage(df, folder, clustered)
         publish(spark, table, staged, staged.dates | stored)
 
 
@@ -142,9 +147,10 @@ def replace_partitions(
     spark = df.sparkSession
     wanted = sorted(set(dates), reverse=True)
     with _run(spark, table) as folder:
-        staged = stage(df.filter(on_dates(wanted)), folder, clustered, isolate)
-        bad = staged.bad_dates(spark) if isolate else {}
-        rows = staged.rows_per_date(spark)
+        with _discarded_on_error(spark, table, folder):
+            staged = stage(df.filter(on_dates(wanted)), folder, clustered, isolate)
+            bad = staged.bad_dates(spark) if isolate else {}
+            rows = staged.rows_per_date(spark)
         stored = publish(spark, table, staged, set(wanted) - bad.keys(), retain)
         for d in bad:
             _HadoopPath(spark, _date_folder(folder, d)).delete()
@@ -193,20 +199,23 @@ def publish(
     """
     wanted = set(wanted)
     location = _HadoopPath(spark, _table_location(spark, table))
-    stored = _partition_dates(spark, table)
+    stored = partition_dates(spark, table)
     replaced = sorted(wanted & stored, reverse=True)
-    former = [_partition_path(spark, table, d) for d in replaced]
+    former = _folders_in_use(spark, table, replaced)
     note = location.child("_retired").child(staged.folder.rsplit("/", 1)[-1])
     retired = [path for path in former if path.startswith(location.plain + "/")]
     if retired:
         note.write("\n".join(retired))
-    for d in replaced:
+
+    def point(d: date) -> None:
         target = _date_folder(staged.folder, d)
         if d not in staged.dates:
             # An empty folder, not a dropped partition: a later append to this date must not
             # pick up files that a crash left in the date's default folder.
             _HadoopPath(spark, target).mkdirs()
         spark.sql(f"ALTER TABLE {table} PARTITION ({_spec(d)}) SET LOCATION '{target}'")
+
+    _at_once(spark, point, replaced)
     new_dates = sorted((wanted & staged.dates) - stored)
     for start in range(0, len(new_dates), _PARTITIONS_PER_STATEMENT):
         _add_partitions(spark, table, staged, new_dates[start : start + _PARTITIONS_PER_STATEMENT])
@@ -224,7 +233,7 @@ def vacuum(spark: SparkSession, table: str) -> int:
     meanwhile.
     """
     location = _HadoopPath(spark, _table_location(spark, table))
-    stored = _partition_dates(spark, table)
+    stored = partition_dates(spark, table)
     pointed: dict[date, str] = {}
     unused = []
     for folder in [location, *map(location.child("_runs").child, location.child("_runs").children())]:
@@ -257,6 +266,34 @@ def _run(spark: SparkSession, table: str, prefix: str = "") -> Iterator[str]:
     marker.delete()
 
 
+@contextmanager
+def _discarded_on_error(spark: SparkSession, table: str, folder: str) -> Iterator[None]:
+    """Nothing of a run is left if it fails before it publishes; only a lost driver leaves that to the next run."""
+    try:
+        yield
+    except Exception:
+        _HadoopPath(spark, folder).delete()
+        _HadoopPath(spark, _table_location(spark, table)).child("_open").child(folder.rsplit("/", 1)[-1]).delete()
+        raise
+
+
+def _at_once(spark: SparkSession, step: Callable[[date], None], dates: list[date]) -> None:
+    """The step of every date, several at a time, under the caller's job group and other local properties."""
+    if dates:
+        with ThreadPoolExecutor(min(_STATEMENTS_AT_ONCE, len(dates))) as pool:
+            inheriting = inheritable_thread_target(spark)
+            list(pool.map(lambda run: run(), [inheriting(lambda d=d: step(d)) for d in dates]))
+
+
+def _folders_in_use(spark: SparkSession, table: str, dates: list[date]) -> list[str]:
+    """The folders that hold these dates' files, without the scheme; one listing for all of them."""
+    if not dates:
+        return []
+    files = spark.table(table).filter(on_dates(dates)).inputFiles()
+    folders = {path.rsplit("/", 1)[0] for path in files}
+    return sorted(_HadoopPath(spark, folder).plain for folder in folders)
+
+
 def _clean_up(spark: SparkSession, table: str, location: _HadoopPath, run: str) -> None:
     """Delete what lost runs staged and what earlier runs retired."""
     lost = set(location.child("_open").children()) - {run}
@@ -268,7 +305,7 @@ def _clean_up(spark: SparkSession, table: str, location: _HadoopPath, run: str)
         paths = location.child("_retired").child(name).read().splitlines()
         # A run lost while it published may have left the old files in use.
         (left if name in lost else certain).extend(paths)
-    stored = _partition_dates(spark, table) if left else set()
+    stored = partition_dates(spark, table) if left else set()
 
     def in_use(path: str) -> bool:
         d = _date_of(path)
@@ -312,7 +349,7 @@ def _date_folder(root: str, d: date) -> str:
     return f"{root}/{_date_name(d)}"
 
 
-def _partition_dates(spark: SparkSession, table: str) -> set[date]:
+def partition_dates(spark: SparkSession, table: str) -> set[date]:
     names = [row[0] for row in spark.sql(f"SHOW PARTITIONS {table}").collect()]
     return {date.fromisoformat(name.removeprefix(_DATE_PREFIX)) for name in names}
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Iterable
 from dataclasses import dataclass
 from datetime import date
@@ -10,11 +11,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.dates import LOOKBACK_DAYS, Window, lookback_window
+from tidemark.operators.ledger import DigestLedger
 from tidemark.operators.profile import date_checksums
 from tidemark.operators.reconcile import failing_dates
 from tidemark.operators.sink import CLEARED, FAILED, REPLACED, DateOutcome, replace_partitions
 from tidemark.schema import PARTITION_COLUMN
 
+# How often a date whose read fails is tried again, and after how many such dates a run gives up.
+RETRIES = 2
+FAILED_READS = 10
+
 
 @dataclass(frozen=True)
 class RebuildResult:
@@ -30,13 +36,13 @@ class RebuildResult:
         )
 
     def failed(self) -> list[DateOutcome]:
-        """Dates that stay as they were because rows of theirs do not fit the table."""
+        """Dates that stay as they were: rows of theirs do not fit the table, or they could not be read."""
         return [o for o in self.outcomes if o.action == FAILED]
 
     def check(self) -> RebuildResult:
         """The result itself, or an error that names the failed dates; the others are published."""
         if self.failed():
-            texts = [f"{o.shipment_date}: {o.bad_rows} rows, {o.problem}" for o in self.failed()]
+            texts = [f"{o.shipment_date}: {o.bad_rows} bad rows, {o.problem}" for o in self.failed()]
             raise ValueError("dates not rebuilt: " + "; ".join(texts))
         return self
 
@@ -60,23 +66,74 @@ def rebuild(
     missed_nights: int = 0,
     clustered: bool = False,
     fail_all: bool = False,
+    ledger: DigestLedger | None = None,
 ) -> RebuildResult:
     """Replace every date of the window in ``table`` by the source's rows of that date.
 
     All dates are one job, so small and large ones share the cluster. Dates outside the window
-    are neither read nor written. A date with a row that does not fit the table fails alone and stays
-    as it was: ``check()`` of the result raises then. With ``fail_all`` such a row fails the job and
-    no date is published.
+    are neither read nor written. A date with a row that does not fit the table, or one that cannot be read, fails alone and
+    stays as it was: ``check()`` of the result raises then. With ``fail_all`` such a date fails the job and
+    no date is published. A ledger records the published dates.
     """
     window = lookback_window(as_of, lookback_days, missed_nights)
-    return rebuild_dates(source, table, window.dates(), clustered, fail_all)
+    return rebuild_dates(source, table, window.dates(), clustered, fail_all, ledger)
 
 
 def rebuild_dates(
-    source: DataFrame, table: str, dates: Iterable[date], clustered: bool = False, fail_all: bool = False
+    source: DataFrame,
+    table: str,
+    dates: Iterable[date],
+    clustered: bool = False,
+    fail_all: bool = False,
+    ledger: DigestLedger | None = None,
+    retry_wait: float = 0,
 ) -> RebuildResult:
-    """Rebuild any set of dates, down to a single one; replaced files stay for readers until the next run."""
-    return RebuildResult(replace_partitions(source, table, dates, clustered, isolate=not fail_all, retain=True))
+    """Rebuild any set of dates, down to a single one; replaced files stay for readers until the next run.
+
+    If a job fails, the dates are halved until those are found that cannot be read; these are tried RETRIES times more,
+    after ``retry_wait`` seconds each. One such date among n costs about 2 log2 n jobs. After FAILED_READS of them
+    the source itself must be out of order: the dates not tried yet fail untried.
+    """
+    wanted = sorted(set(dates), reverse=True)
+    if fail_all:
+        outcomes = replace_partitions(source, table, wanted, clustered, retain=True)
+    else:
+        outcomes = _isolated(source, table, wanted, clustered, retry_wait)
+    if ledger:
+        ledger.record(o.shipment_date for o in outcomes if o.action != FAILED)
+    return RebuildResult(outcomes)
+
+
+def _isolated(
+    source: DataFrame, table: str, wanted: list[date], clustered: bool, retry_wait: float
+) -> list[DateOutcome]:
+    outcomes: dict[date, DateOutcome] = {}
+    open_sets = [(wanted, 0)]
+    failed = 0
+    while open_sets:
+        dates, tries = open_sets.pop()
+        if failed >= FAILED_READS:
+            outcomes |= {d: DateOutcome(d, 0, FAILED, problem="not tried, too many reads failed") for d in dates}
+            continue
+        try:
+            done = replace_partitions(source, table, dates, clustered, isolate=True, retain=True)
+        except Exception as error:
+            if len(dates) > 1:
+                half = len(dates) // 2
+                open_sets += [(dates[half:], 0), (dates[:half], 0)]
+            elif tries < RETRIES:
+                time.sleep(retry_wait)
+                open_sets.append((dates, tries + 1))
+            else:
+                failed += 1
+                outcomes[dates[0]] = DateOutcome(dates[0], 0, FAILED, problem=_first_line(error))
+        else:
+            outcomes |= {o.shipment_date: o for o in done}
+    return [outcomes[d] for d in wanted]
+
+
+def _first_line(error: Exception) -> str:
+    return next((line for line in str(error).splitlines() if line.strip()), type(error).__name__)
 
 
 def repair(source: DataFrame, table: str, report: DataFrame, clustered: bool = False) -> RebuildResult:
