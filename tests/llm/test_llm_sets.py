@@ -273,6 +273,20 @@ def test_scanned_table(spark):
         ("licensed undr the creative comons atribution", {"cc"}),
         ("licensed by nobody under the sun", set()),
         ("General Public  License é", {"gpl"}),
+        ("released under the BSD license", {"bsd"}),
+        ("licensed under the bsd license", {"bsd"}),
+        ("Licensed under the ISC license", set()),
+        ("licensed under the gpl license", set()),
+        ("Licensed under the W3C license", set()),
+        ("released under the new license", set()),
+        ("released under the Zlib license", set()),
+        ("we are licensed under a by-law", set()),
+        ("we are licensed under CC-BY", {"cc"}),
+        ("under the terms of the GNU Lesser General Public License", {"gpl", "lgpl"}),
+        ("under the terms of the Mozila Public License", set()),
+        ("subject to the terms of the Mozila Public License", {"mpl"}),
+        ("licensed under the bsd licensed undr teh mit license", {"mit", "bsd"}),
+        ("licensed under the Apach License, Version 2.0", {"apache"}),
     ],
 )
 def test_notices_with_edits(text, labels):
@@ -292,12 +306,66 @@ def test_fuzzy_places_equal_search_without_seeds():
                 chars[at] = "q"
             flat, _ = scanner.normalised("the one " + "".join(chars) + " and more")
             plain = n.pattern.search(flat.decode("latin-1"))
+            plain = plain and n.named(f" {plain.group()} ")
             found = [m for m in scanner.fuzzy(flat) if m.label == n.label and m.edits <= n.edits]
             assert bool(found) >= bool(plain)
             if plain:
                 assert min(m.first_word for m in found) <= 2
 
 
+def edit_distance(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        left = [i]
+        for j, y in enumerate(b, 1):
+            left.append(min(row[j] + 1, left[-1] + 1, row[j - 1] + (x != y)))
+        row = left
+    return row[-1]
+
+
+def brute_notices(text):
+    """Labels of all runs of words that are near a notice and hold its names, without seeds or patterns."""
+    words = text.lower().split()
+    hits = []
+    for notice, label in licenses.NOTICES.items():
+        names = [x for x in licenses.NAMES if f" {x} " in f" {notice} "]
+        bound = len(notice) // licenses.CHARS_PER_EDIT
+        for i in range(len(words)):
+            for j in range(i + 1, len(words) + 1):
+                run = " ".join(words[i:j])
+                if abs(len(run) - len(notice)) > bound:
+                    continue
+                edits = edit_distance(run, notice)
+                if edits <= bound and all(near_name(words[i:j], x) for x in names):
+                    hits.append((i, j, edits, label))
+    return {a[3] for a in hits if not any(b[3] != a[3] and b[2] < a[2] and b[0] < a[1] and a[0] < b[1] for b in hits)}
+
+
+def near_name(words, name):
+    bound = 1 if len(name) >= licenses.LONG_NAME else 0
+    runs = (" ".join(words[i:j]) for i in range(len(words)) for j in range(i + 1, len(words) + 1))
+    return any(abs(len(run) - len(name)) <= bound and edit_distance(run, name) <= bound for run in runs)
+
+
+def test_notices_equal_brute_force():
+    rng = np.random.default_rng(11)
+    scanner = licenses.Scanner()
+    others = ["isc", "zlib", "w3c", "new", "mit", "bsd", "gpl", "apache", "mozilla", "by", "cc"]
+    marked = 0
+    for notice in [*licenses.NOTICES] * 3:
+        words = notice.split()
+        if rng.random() < 0.6:
+            words[rng.integers(len(words))] = str(rng.choice(others))
+        chars = list(" ".join(words))
+        for at in rng.choice(len(chars), rng.integers(0, 3), replace=False):
+            chars[at] = str(rng.choice(["", "x", "e"])) if chars[at] != " " else " "
+        text = "some words " + "".join(chars) + " and more"
+        found = {m.label for m in scanner.fuzzy(scanner.normalised(text)[0])}
+        assert found == brute_notices(text), text
+        marked += bool(found)
+    assert marked > 10
+
+
 def test_licenses_of_odd_rows(spark):
     rows = rows_of(licenses.scan(odd_documents(spark)), "doc_id", "text", "n_words", "n_base", "labels", "score", "node")
     assert len(rows) == len(ODD)

@@ -36,6 +36,7 @@ NOTICES = {
     "licensed under the gnu general public license": "gpl",
     "under the terms of the gnu lesser general public license": "lgpl",
     "redistribution and use in source and binary forms with or without modification": "bsd",
+    "released under the bsd license": "bsd",
     "licensed under the bsd license": "bsd",
     "permission to use copy modify and or distribute this software for any purpose": "isc",
     "subject to the terms of the mozilla public license": "mpl",
@@ -44,8 +45,21 @@ NOTICES = {
     "this is free and unencumbered software released into the public domain": "unlicense",
     "all rights reserved": "reserved",
 }
+# Words in notices that tell one licence from another.
+NAMES = (
+    "mit",
+    "apache",
+    "general public",
+    "lesser",
+    "bsd",
+    "mozilla",
+    "creative commons",
+    "cc by",
+)
 # End of fixed values.
 
+#: A name of so many letters may have one edit, a shorter one none.
+LONG_NAME = 6
 #: One edit is allowed for so many characters of a notice.
 CHARS_PER_EDIT = 10
 #: Length of a searched piece in lengths of the notice.
@@ -63,7 +77,28 @@ class Notice:
     label: str
     edits: int
     seeds: tuple[bytes, ...]
+    #: Matches begin with a whole word, and end with one and the blank after it.
     pattern: regex.Pattern
+    #: Where a licence's name stands in the notice, its length, and what finds it as whole words.
+    names: tuple[tuple[int, int, regex.Pattern], ...]
+
+    def named(self, span: str) -> bool:
+        """Whether all names of the notice stand in a span, given with a blank on either side."""
+        return all(name.search(span) for _, _, name in self.names)
+
+    def named_near(self, flat: bytes, place: int) -> bool:
+        """Whether the names stand where they would if the notice began here, give or take the edits."""
+        room = self.edits + 2
+        for offset, length, name in self.names:
+            at = place + offset
+            if not name.search(flat[max(0, at - room) : max(0, at + length + room)].decode("latin-1")):
+                return False
+        return True
+
+
+def _name(text: str) -> regex.Pattern:
+    fuzzy = "{e<=1}" if len(text) >= LONG_NAME else ""
+    return regex.compile(rf"(?<= )(?:{regex.escape(text + ' ')}){fuzzy}(?<= )")
 
 
 def notice(text: str, label: str) -> Notice:
@@ -71,7 +106,10 @@ def notice(text: str, label: str) -> Notice:
     edits = len(text) // CHARS_PER_EDIT
     cuts = [round(len(text) * i / (edits + 1)) for i in range(edits + 2)]
     seeds = tuple(text[a:b].encode() for a, b in zip(cuts, cuts[1:]))
-    return Notice(text, label, edits, seeds, regex.compile(rf"(?:{regex.escape(text)}){{e<={edits}}}", regex.BESTMATCH))
+    # The blank after it is matched too: before a lookahead the library leaves out matches that lack their last letters.
+    pattern = regex.compile(rf"(?<= )(?:{regex.escape(text + ' ')}){{e<={edits}}}(?<= )", regex.BESTMATCH)
+    names = tuple((f" {text} ".index(f" {x} "), len(x), _name(x)) for x in NAMES if f" {x} " in f" {text} ")
+    return Notice(text, label, edits, seeds, pattern, names)
 
 
 @dataclass(frozen=True)
@@ -111,7 +149,10 @@ class Scanner:
         return sorted((before(m.start()) - 1, label) for p, label in self.phrases for m in p.finditer(flat))
 
     def fuzzy(self, flat: bytes) -> list[Match]:
-        """Places of notices with bounded edits, of those of one notice that overlap the one with fewest."""
+        """Places of notices with bounded edits, of those that overlap the one with fewest.
+
+        A match is made of whole words and holds the names that its notice holds, long ones with at most one edit.
+        """
         starts: dict[Notice, set[int]] = {}
         for seed, users in self.seeds:
             at = flat.find(seed)
@@ -122,11 +163,10 @@ class Scanner:
         found = []
         before = word_counter(flat) if starts else None
         for n, places in starts.items():
-            for a, b, edits in disjoint(self._near(flat, n, sorted(places))):
-                first = before(a) if flat[a : a + 1] == b" " else before(a + 1) - 1
-                last = before(max(b - 1, 0))
-                found.append(Match(n.label, max(0, first), max(1, last), edits, 1 - edits / len(n.text)))
-        return sorted(set(found), key=lambda x: (x.first_word, x.end_word, x.label, x.edits))
+            near = sorted(place for place in places if n.named_near(flat, place))
+            for a, b, edits in disjoint(self._near(flat, n, near)):
+                found.append(Match(n.label, before(a) - 1, before(b), edits, 1 - edits / len(n.text)))
+        return unrivalled(sorted(set(found), key=lambda x: (x.first_word, x.end_word, x.label, x.edits)))
 
     def _near(self, flat: bytes, n: Notice, places: list[int]) -> Iterator[tuple[int, int, int]]:
         """Start, end and edits of matches around the places where seeds say that a notice begins.
@@ -134,14 +174,15 @@ class Scanner:
         Stretches of near places are searched in pieces of a few notices' length, each reaching so far into the next
         that no match is cut; so the time grows with the length of the text, however often seeds repeat.
         """
-        reach = len(n.text) + 2 * n.edits
+        # The blanks around a match are read too.
+        reach = len(n.text) + 2 * n.edits + 1
         i = 0
         while i < len(places):
             j = i
             while j + 1 < len(places) and places[j + 1] - places[j] <= reach + n.edits:
                 j += 1
             end = min(len(flat), places[j] + reach + 1)
-            begin = max(0, places[i] - n.edits)
+            begin = max(0, places[i] - n.edits - 1)
             for start in range(begin, max(begin + 1, end - reach), PIECE * reach):
                 # Latin-1 gives each byte a character of its own, so places stay those of the bytes.
                 piece = flat[start : min(end, start + (PIECE + 1) * reach)].decode("latin-1")
@@ -150,14 +191,19 @@ class Scanner:
             i = j + 1
 
     def _best(self, n: Notice, piece: str, low: int, high: int) -> Iterator[tuple[int, int, int]]:
-        """The match with the fewest edits, and the best ones on either side of it."""
+        """The match with the fewest edits, and the best ones on either side of it; after one without the names,
+        those that begin later than it."""
         parts = [(low, high)]
         while parts:
             low, high = parts.pop()
             m = n.pattern.search(piece, low, high) if high - low >= len(n.text) - n.edits else None
-            if m:
-                yield m.start(), m.end(), sum(m.fuzzy_counts)
-                parts += [(low, m.start()), (m.end(), high)]
+            if not m:
+                continue
+            if n.named(piece[m.start() - 1 : m.end()]):
+                yield m.start(), m.end() - 1, sum(m.fuzzy_counts)
+                parts += [(low, m.start()), (m.end() - 1, high)]
+            else:
+                parts += [(low, m.start()), (m.start() + 1, high)]
 
 
 def word_counter(flat: bytes) -> Callable[[int], int]:
@@ -177,6 +223,19 @@ def disjoint(matches: Iterable[tuple[int, int, int]]) -> list[tuple[int, int, in
     return kept
 
 
+def unrivalled(matches: list[Match]) -> list[Match]:
+    """Matches in the order of their first words, but those that overlap one of another label with fewer edits."""
+    beaten = set()
+    for i, a in enumerate(matches):
+        for j in range(i + 1, len(matches)):
+            b = matches[j]
+            if b.first_word >= a.end_word:
+                break
+            if a.label != b.label and a.edits != b.edits:
+                beaten.add(i if a.edits > b.edits else j)
+    return [match for i, match in enumerate(matches) if i not in beaten]
+
+
 def scan(documents: DataFrame, notices: Iterable[tuple[str, str]] = tuple(NOTICES.items())) -> DataFrame:
     """Every row with its exact phrases and fuzzy notices.
 
