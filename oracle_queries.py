@@ -505,3 +505,16 @@ FROM now_rows WHERE shipment_date BETWEEN {AS_OF} - 70 AND {AS_OF} - 1 GROUP BY
         STRATEGIES,
     ),
 }
+
+# Profiles from stored states give the rows of those that read the table.
+ORACLE_SQL |= {
+    f"{name}_states": ORACLE_SQL[name]
+    for name in (
+        "table_overview",
+        "status_breakdown",
+        "carrier_profile",
+        "recent_dates_top10",
+        "version_counts",
+        "band_violations",
+    )
+}

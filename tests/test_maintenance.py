@@ -11,11 +11,12 @@ from pyspark.sql import functions as F
 import tidemark.operators.sink as sink_module
 from fixtures_small import TODAY, as_set, at_age, by_age
 from tidemark.functions.dates import lookback_window
-from tidemark.operators import setdiff
+from tidemark.operators import profile, profile_states, setdiff
 from tidemark.operators.arrivals import arrive, nightly_arrivals
 from tidemark.operators.ids import LARGEST_ID, IdLedger
 from tidemark.operators.ledger import DATE, MONTH, TABLE, DigestLedger, date_files
 from tidemark.operators.profile import date_checksums
+from tidemark.operators.profile_states import ProfileStates
 from tidemark.operators.reconcile import row_differences
 from tidemark.operators.setdiff import sparse_row_differences
 from tidemark.operators.sink import append, full_load, replace_partitions
@@ -379,3 +380,71 @@ def test_one_listing_and_parallel_statements(spark, table, monkeypatch, days):
     assert len(described) < 8
     assert 1 < len(threads) <= 8 and groups == {"nightly"}
     assert shipments(spark, table).count() == 2 * days
+
+
+# Profiles from stored states
+
+
+PROFILES = {
+    "table_overview": (),
+    "status_breakdown": (),
+    "carrier_profile": (),
+    "recent_dates": (2,),
+    "version_counts": (),
+    "seed_date": (TODAY,),
+    "band_violations": (TODAY,),
+}
+
+
+def same_profiles(states, rows):
+    for name, arguments in PROFILES.items():
+        merged = getattr(profile_states, name)(states, *arguments)
+        plain = getattr(profile, name)(rows, *arguments)
+        assert merged.dtypes == plain.dtypes, name
+        assert sorted(map(str, merged.collect())) == sorted(map(str, plain.collect())), name
+
+
+def test_profiles_from_states_equal_those_of_the_table(spark, table):
+    append(by_age(spark, {1: 5, 30: 1, 31: 2, 59: 4, 61: 3, 400: 2}), table)
+    states = ProfileStates(spark, table, f"{table}_states")
+    first = states.start()
+    assert states.start() == first
+    same_profiles(states.states(), shipments(spark, table))
+    before = shipments(spark, table).collect()
+    # Costs and versions change on two dates, one date loses its rows, one appears.
+    kept = shipments(spark, table).filter(F.col("shipment_date") != F.lit(at_age(59)))
+    source = kept.withColumn("actual_cost", F.col("estimated_cost")).withColumn("record_version", F.lit(2))
+    source = source.unionByName(by_age(spark, {2: 3}))
+    rebuild_dates(source, table, [at_age(1), at_age(2), at_age(31), at_age(59)], states=states)
+    assert states.version() == first + 1
+    same_profiles(states.states(), shipments(spark, table))
+    same_profiles(states.states(first), spark.createDataFrame(before, shipments(spark, table).schema))
+    # Everything recorded anew gives the same.
+    states.record()
+    same_profiles(states.states(), shipments(spark, table))
+    spark.sql(f"DROP TABLE {states.table}")
+
+
+def test_recording_reads_published_dates_alone(spark, table):
+    append(by_age(spark, {1: 5, 31: 2, 400: 2}), table)
+    states = ProfileStates(spark, table, f"{table}_states")
+    states.start()
+    other = shipments(spark, table).filter(F.col("shipment_date") == F.lit(at_age(400)))
+    for path in other.inputFiles():
+        with open(path.removeprefix("file://"), "wb") as file:
+            file.write(b"not a Parquet file")
+    replace_partitions(by_age(spark, {1: 7}), table, [at_age(1)])
+    states.record([at_age(1)])
+    assert profile_states.table_overview(states.states()).first().total_rows == 11
+    assert not any(f"/{table}/" in path for path in states.states().inputFiles())
+    spark.sql(f"DROP TABLE {states.table}")
+
+
+def test_states_of_an_empty_table(spark, table):
+    states = ProfileStates(spark, table, f"{table}_states")
+    assert states.start() == states.record([]) == -1
+    same_profiles(states.states(), shipments(spark, table))
+    append(by_age(spark, {3: 2}), table)
+    states.record([at_age(3), at_age(4)])
+    same_profiles(states.states(), shipments(spark, table))
+    spark.sql(f"DROP TABLE {states.table}")

@@ -42,6 +42,12 @@ SLOW = {
     "rebuild_with_failing_read",
     "rebuild_around_failing_read",
     "frozen_guard",
+    "table_overview_states",
+    "status_breakdown_states",
+    "carrier_profile_states",
+    "recent_dates_top10_states",
+    "version_counts_states",
+    "band_violations_states",
 }
 
 

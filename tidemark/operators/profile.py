@@ -157,10 +157,16 @@ def seed_date(df: DataFrame, as_of: date) -> DataFrame:
 
 def band_violations(df: DataFrame, as_of: date) -> DataFrame:
     """Groups of rows whose version, status or cost presence does not belong to their age."""
+    groups = df.groupBy("shipment_date", "record_version", "settlement_status").agg(
+        F.count("*").alias("row_count"), F.count_if(F.col("actual_cost").isNull()).alias("uncosted_rows")
+    )
+    return violations(groups, as_of)
+
+
+def violations(groups: DataFrame, as_of: date) -> DataFrame:
+    """Of groups by date, version and status with row_count and uncosted_rows those that do not belong to their age."""
     return (
-        df.groupBy("shipment_date", "record_version", "settlement_status")
-        .agg(F.count("*").alias("row_count"), F.count_if(F.col("actual_cost").isNull()).alias("uncosted_rows"))
-        .withColumn("expected_version", by_band(as_of, lambda b: F.lit(b.version), F.lit(PENDING_VERSION)))
+        groups.withColumn("expected_version", by_band(as_of, lambda b: F.lit(b.version), F.lit(PENDING_VERSION)))
         .withColumn("expected_status", by_band(as_of, lambda b: F.lit(b.status), F.lit(PENDING_STATUS)))
         .withColumn(
             "expected_uncosted",

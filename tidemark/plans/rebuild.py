@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.dates import LOOKBACK_DAYS, Window, lookback_window
 from tidemark.operators.ledger import DigestLedger
 from tidemark.operators.profile import date_checksums
+from tidemark.operators.profile_states import ProfileStates
 from tidemark.operators.reconcile import failing_dates
 from tidemark.operators.sink import CLEARED, FAILED, REPLACED, DateOutcome, replace_partitions
 from tidemark.schema import PARTITION_COLUMN
@@ -67,16 +68,17 @@ def rebuild(
     clustered: bool = False,
     fail_all: bool = False,
     ledger: DigestLedger | None = None,
+    states: ProfileStates | None = None,
 ) -> RebuildResult:
     """Replace every date of the window in ``table`` by the source's rows of that date.
 
     All dates are one job, so small and large ones share the cluster. Dates outside the window
     are neither read nor written. A date with a row that does not fit the table, or one that cannot be read, fails alone and
     stays as it was: ``check()`` of the result raises then. With ``fail_all`` such a date fails the job and
-    no date is published. A ledger records the published dates.
+    no date is published. A ledger and profile states record the published dates.
     """
     window = lookback_window(as_of, lookback_days, missed_nights)
-    return rebuild_dates(source, table, window.dates(), clustered, fail_all, ledger)
+    return rebuild_dates(source, table, window.dates(), clustered, fail_all, ledger, states=states)
 
 
 def rebuild_dates(
@@ -87,6 +89,7 @@ def rebuild_dates(
     fail_all: bool = False,
     ledger: DigestLedger | None = None,
     retry_wait: float = 0,
+    states: ProfileStates | None = None,
 ) -> RebuildResult:
     """Rebuild any set of dates, down to a single one; replaced files stay for readers until the next run.
 
@@ -99,8 +102,9 @@ def rebuild_dates(
         outcomes = replace_partitions(source, table, wanted, clustered, retain=True)
     else:
         outcomes = _isolated(source, table, wanted, clustered, retry_wait)
-    if ledger:
-        ledger.record(o.shipment_date for o in outcomes if o.action != FAILED)
+    for recorder in (ledger, states):
+        if recorder:
+            recorder.record(o.shipment_date for o in outcomes if o.action != FAILED)
     return RebuildResult(outcomes)
 
 
