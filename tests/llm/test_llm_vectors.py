@@ -75,6 +75,16 @@ def test_search_with_repeated_query_rows(spark, copies):
     assert found == [(n + 1, i) for n, (i, _) in enumerate(brute_neighbours(rows, 20)[20])]
 
 
+def test_search_with_two_vectors_of_one_query_id(spark):
+    rng = np.random.default_rng(6)
+    rows = [(20, v) for v in rng.normal(size=(2, 16)).astype(np.float32).tolist()]
+    rows += [(1001 + 20 * i, v) for i, v in enumerate(rng.normal(size=(100, 16)).astype(np.float32).tolist())]
+    df = spark.createDataFrame([(i, v, 0, "", "") for i, v in rows], SCHEMA)
+    found = sorted((r["rank"], r.vec_id) for r in nearest.nearest(df, F.col("vec_id") == 20).collect())
+    each = [brute_neighbours([query, *rows[2:]], 20)[20] for query in rows[:2]]
+    assert found == sorted((n + 1, i) for one in each for n, (i, _) in enumerate(one))
+
+
 def test_chi_square_quantile():
     # Two degrees of freedom have a closed form.
     assert nearest.chi_square_quantile(0.95, 2) == pytest.approx(-2 * np.log(0.05))

@@ -75,7 +75,7 @@ class Tree:
 def search(
     ids: np.ndarray, vectors: np.ndarray, query_ids: np.ndarray, queries: np.ndarray, longest: float, k: int
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """For each query, up to k rows of one block with the largest inner products: query_id, vec_id, score."""
+    """For each query, up to k rows of one block with the largest inner products: place of the query, vec_id, score."""
     dims = vectors.shape[1]
     planes = np.random.default_rng([SEED, dims]).normal(size=(dims + 1, PROJECTED))
     added = np.sqrt(np.maximum(0, longest - (vectors * vectors).sum(1)))
@@ -83,7 +83,7 @@ def search(
     ordered = [(rows, ids[rows], np.ascontiguousarray(vectors[rows])) for rows in tree.leaves]
     stop = chi_square_quantile(CONFIDENCE)
     found_query, found_row, found_score = [], [], []
-    for query_id, query in zip(query_ids, queries):
+    for place, (query_id, query) in enumerate(zip(query_ids, queries)):
         order, distance = tree.by_distance(query @ planes[:-1])
         least = longest + float(query @ query)
         rows, scores, worst = np.empty(0, dtype=np.int64), np.empty(0), -np.inf
@@ -108,7 +108,7 @@ def search(
         # The products again, in one order of summation for all rows, so that equal vectors tie exactly.
         scores = (vectors[rows] * query).sum(1)
         best = np.lexsort((ids[rows], -scores))[:k]
-        found_query.append(np.full(len(best), query_id))
+        found_query.append(np.full(len(best), place))
         found_row.append(ids[rows][best])
         found_score.append(scores[best])
     empty = np.empty(0, dtype=np.int64)
@@ -125,7 +125,8 @@ def nearest(embeddings: DataFrame, is_query: Column, k: int = 20) -> DataFrame:
     Candidates are all rows but those with the query's own vec_id; the score is the inner product in double precision, the largest
     first, ties to the smaller vec_id. Vectors that are null, empty, zero or not finite, and rows without
     vec_id, take no part; vectors are compared with those of as many components. Rows that share a
-    vec_id are candidates each, and queries each; a query that stands twice with one vector answers once.
+    vec_id are candidates each, and queries each, with ranks from 1 for each vector; a query that stands twice
+    with one vector answers once.
     """
     rows = (
         embeddings.filter(usable("embedding") & F.col("vec_id").isNotNull())
@@ -156,17 +157,21 @@ def nearest(embeddings: DataFrame, is_query: Column, k: int = 20) -> DataFrame:
         .select(
             "dims",
             F.col("vec_id").alias("query_id"),
+            # Tells the vectors of one id apart.
+            F.xxhash64("embedding").alias("query_hash"),
             "embedding",
             F.pmod(F.xxhash64("vec_id", F.lit(1)), F.col("query_blocks")).cast("int").alias("query_block"),
             F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"),
         )
-        .toDF("query_dims", "query_id", "query", "of_query_block", "of_block")
+        .toDF("query_dims", "query_id", "query_hash", "query", "of_query_block", "of_block")
     )
 
+    names, kinds = ("query_id", "query_hash", "vec_id", "score"), (*[pa.int64()] * 3, pa.float64())
+
     def one(left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows or not right.num_rows:
-            return pa.table({"query_id": pa.array([], pa.int64()), "vec_id": pa.array([], pa.int64()), "score": pa.array([], pa.float64())})
-        query_id, vec_id, score = search(
+            return pa.table({name: pa.array([], kind) for name, kind in zip(names, kinds)})
+        place, vec_id, score = search(
             left["vec_id"].to_numpy(),
             matrix(left["embedding"]),
             right["query_id"].to_numpy(),
@@ -174,14 +179,15 @@ def nearest(embeddings: DataFrame, is_query: Column, k: int = 20) -> DataFrame:
             float(left["longest"][0].as_py()),
             k,
         )
-        return pa.table({"query_id": query_id, "vec_id": vec_id, "score": score})
+        of_query = [right[name].to_numpy()[place] for name in names[:2]]
+        return pa.table(dict(zip(names, [*of_query, vec_id, score])))
 
     found = (
         index.groupBy("dims", "block", "query_block")
         .cogroup(queries.groupBy("query_dims", "of_block", "of_query_block"))
-        .applyInArrow(one, "query_id long, vec_id long, score double")
+        .applyInArrow(one, "query_id long, query_hash long, vec_id long, score double")
     )
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    order = Window.partitionBy("query_id", "query_hash").orderBy(F.desc("score"), "vec_id")
     return (
         found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
     )
