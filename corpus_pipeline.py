@@ -1,7 +1,8 @@
 """From raw documents to batches for training, stage by stage.
 
 Every stage is written as Parquet to the shared folder and read again by the next, so a lost executor or
-a failed stage costs that stage alone.
+a failed stage costs that stage alone. The folder of a stage is deleted once the next one is written; that of
+the last written stage stays, for the batches are read from it.
 """
 
 from __future__ import annotations
@@ -18,9 +19,17 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The batches of all documents that the stages keep."""
-    docs = table(spark, sf_dir, "documents")
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES[:-1]:
         path = scratch_path(spark, f"pipeline_{name}")
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
+        if before:
+            _delete(spark, before)
+        before = path
     return STAGES[-1][1](spark, docs, sf_dir)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
