@@ -70,3 +70,30 @@ def test_stages_bear_odd_rows(spark, name):
         assert after.count() == len(ODD)
     empty = STEPS[name](spark, no_documents(spark), SF)
     assert empty.count() == 0
+
+
+def test_one_row_of_a_group_stays_also_where_ids_repeat_or_are_missing(spark):
+    text = "one passage of rather more than five words that stands in several rows of the table"
+    other = "another passage with words of its own which nothing else in the table resembles at all"
+    near = text + " today"
+    rows = [(None, text), (None, text), (7, text), (7, text), (8, text), (8, other), (9, near), (None, ""), (None, "")]
+    docs = spark.createDataFrame([(i, t, f"s{n}") for n, (i, t) in enumerate(rows)], "doc_id long, text string, number string")
+    after = STEPS["jaccard_join"](spark, docs, SF)
+    assert after.columns == docs.columns
+    kept = rows_of(after, "doc_id", "text")
+    assert sorted(kept, key=str) == sorted([(7, text), (8, other), (None, ""), (None, "")], key=str)
+
+
+def test_mixing_stage_keeps_columns_named_like_its_own(spark):
+    names = ["of_source", "hash", "mix_cut", "mix_part", "row", "SIZE", "copy"]
+    rows = [(i, "four words are here", "ab"[i % 2], *[f"{n}{i}" for n in names]) for i in range(40)]
+    docs = spark.createDataFrame(rows, ["doc_id", "text", "source", *names])
+    after = STEPS["mixing"](spark, docs, SF)
+    assert after.columns == docs.columns
+    assert {tuple(r) for r in after.collect()} <= set(rows) and after.count() > 0
+
+
+def test_folders_of_earlier_stages_go(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(corpus_pipeline, "scratch_path", lambda spark, label: str(tmp_path / label))
+    assert corpus_pipeline.run(spark, str(TESTDATA / "sf0.001")).count() > 0
+    assert [p.name for p in tmp_path.iterdir()] == ["pipeline_mixing"]

@@ -163,8 +163,8 @@ def test_quality_of_odd_rows(spark):
     documents = odd_documents(spark)
     marks = labels(spark, [(3, 1, 0), (4, 1, 0), (4, 0, 0), (5, 0, 0), (7, 0, 0), (1, 0, None), (9, None, None)])
     sample = labelled_sample(documents, marks, "quality", F.lit(True), 10)
-    # Label 1 wins for the id that is labelled twice; its repeated rows both teach.
-    assert sorted(r[0] for r in rows_of(sample, "label")) == [0, 0, 0, 1, 1, 1]
+    # Label 1 wins for the id that is labelled twice; of its repeated rows one teaches.
+    assert sorted(r[0] for r in rows_of(sample, "label")) == [0, 0, 0, 1, 1]
     first, second = quality.train(sample), quality.train(sample)
     assert (first.vectors == second.vectors).all()
     rows = rows_of(quality.score(documents, first), "doc_id", "text", "score")
@@ -199,3 +199,20 @@ def test_gram_vectors_bind_permuted_letters():
     gram = (3 * language.LETTERS + 7) * language.LETTERS + 200
     expected = np.roll(letters[3], 2) * np.roll(letters[7], 1) * letters[200]
     assert (language.gram_vectors(np.array([gram]), letters)[0] == expected).all()
+
+
+def test_an_id_with_many_rows_does_not_break_the_bound_of_a_sample(spark):
+    rows = [(1, f"text {i % 50}") for i in range(600)] + [(2, None), (2, None), (3, "three"), (4, "four")]
+    documents = spark.createDataFrame(rows, "doc_id long, text string")
+    marks = labels(spark, [(i, i % 2, 0) for i in range(1, 5)])
+    taken = rows_of(labelled_sample(documents, marks, "quality", F.lit(True), 4), "text", "label")
+    assert sorted(taken, key=str) == sorted([("text 0", 1), (None, 0), ("three", 1), ("four", 0)], key=str)
+    assert labelled_sample(documents, marks, "quality", F.lit(True), 2).count() == 2
+
+
+def test_letters_beyond_the_first_planes_are_letters(spark):
+    rare = "".join(chr(0x20000 + 37 * i) for i in range(60))
+    rows = [(1, rare, "zh"), (2, "plain words of a text", "en"), (3, "\U000E0001\U0001F600", "en")]
+    documents = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    found = dict(rows_of(language.predict(documents, language.train(documents)), "doc_id", "lang_pred"))
+    assert found == {1: "zh", 2: "en", 3: "und"}

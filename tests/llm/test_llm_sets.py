@@ -387,3 +387,11 @@ def test_every_place_of_a_notice_that_repeats():
 
 def test_best_of_overlapping_matches():
     assert licenses.disjoint([(0, 10, 2), (1, 9, 0), (9, 20, 1), (9, 20, 1)]) == [(1, 9, 0), (9, 20, 1)]
+
+
+def test_texts_of_rare_letters_link_with_their_copies_alone(spark):
+    one, two = ("".join(chr(first + 41 * i) for i in range(30)) for first in (0x20000, 0x20100))
+    rows = [(1, one), (2, one), (3, two)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    found = rows_of(jaccard_join.similarity_classes(frame), "doc_id", "class_id", "n_links", "kept")
+    assert sorted(found) == [(1, 1, 1, True), (2, 1, 1, False), (3, 3, 0, True)]

@@ -31,7 +31,8 @@ def labelled_sample(
 ) -> DataFrame:
     """Texts and labels of at most ``limit`` labelled training rows, the first by a hash of their ids.
 
-    Only the chosen ids are sent to the tasks that read the texts; their number is bounded by ``limit``.
+    Only the chosen ids are sent to the tasks that read the texts; their number is bounded by ``limit``, and so is
+    that of the rows, for an id that stands more than once teaches by its smallest text alone.
     A document whose id is labelled more than once with different values takes the larger one.
     """
     chosen = (
@@ -41,4 +42,10 @@ def labelled_sample(
         .orderBy(F.xxhash64("doc_id"), "doc_id")
         .limit(limit)
     )
-    return documents.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("text", "label")
+    return (
+        documents.select("doc_id", "text")
+        .join(F.broadcast(chosen), "doc_id")
+        .groupBy("doc_id")
+        .agg(F.min("text").alias("text"), F.max("label").alias("label"))
+        .select("text", "label")
+    )

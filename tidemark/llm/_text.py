@@ -5,6 +5,7 @@ Everything here runs inside a task on one bounded slice of a record batch.
 
 from __future__ import annotations
 
+import sys
 import unicodedata
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
@@ -14,8 +15,8 @@ import pyarrow as pa
 
 #: Characters of one slice, a single longer text excepted.
 SLICE_CHARS = 1 << 19
-#: Tables of character properties reach to here; what lies above counts as a letter.
-TABLE_END = 0x20000
+#: Tables of character properties hold every code point, rare letters beyond U+1FFFF too.
+TABLE_END = sys.maxunicode + 1
 WORD_BASE = np.uint64(0x9E3779B97F4A7C15)
 GRAM_BASE = np.uint64(0xC2B2AE3D27D4EB4F)
 
@@ -69,7 +70,7 @@ def code_points(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     codes = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
     bounds = np.zeros(len(texts) + 1, dtype=np.int64)
     np.cumsum([len(t) + 1 for t in texts], out=bounds[1:])
-    return np.minimum(codes, TABLE_END - 1) if codes.size and codes.max() >= TABLE_END else codes, bounds
+    return codes, bounds
 
 
 _POWERS: list[np.ndarray] = []

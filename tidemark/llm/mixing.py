@@ -158,10 +158,14 @@ def mix(documents: DataFrame) -> DataFrame:
     boundary hash share what is left, rounded down for each. Null is a source of its own; rows with a
     null id hash alike. The same rows give the same mix. Columns of these names are replaced, others stay.
     """
-    documents = documents.drop("size", "source_size", "target", "taken")
-    hashed = documents.withColumns({"size": word_count("text"), "hash": id_hash("doc_id")})
+    added = ("size", "source_size", "target", "taken")
+    # The given columns travel in one, so that none of their names meets one used here.
+    given = F.struct(*[F.col(f"`{name}`") for name in documents.columns if name.lower() not in added])
+    hashed = documents.select(
+        given.alias("row"), "source", word_count("text").alias("size"), id_hash("doc_id").alias("hash")
+    )
     kept = checkpointed(hashed.select("source", "size", "hash"))
-    return _taken(hashed, thresholds(kept))
+    return _taken(hashed, thresholds(kept)).select("row.*", *added)
 
 
 def _taken(hashed: DataFrame, cuts: DataFrame) -> DataFrame:

@@ -8,13 +8,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import jaccard_join, mixing, packing, quality, toxicity
-from tidemark.llm._tables import table
+from tidemark.llm._tables import checkpointed, table
 from tidemark.llm.queries import quality_model, toxicity_model
 
 
 def _aside(documents: DataFrame, names: tuple[str, ...], step: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """The step's rows with the columns of documents; columns named like the step's own are put aside meanwhile."""
-    away = {name: f"aside_{i}_{name}" for i, name in enumerate(documents.columns) if name in names}
+    away = {name: f"aside_{i}_{name}" for i, name in enumerate(documents.columns) if name.lower() in names}
     stepped = step(documents.withColumnsRenamed(away))
     return stepped.select(*(F.col(away.get(name, name)).alias(name) for name in documents.columns))
 
@@ -36,10 +36,34 @@ def keep_quality(spark, docs, sf_dir):
 
 
 def drop_near_copies(spark, docs, sf_dir):
-    """One document of each similarity class; rows of one doc_id stay or go together, null ids stay."""
-    classes = jaccard_join.similarity_classes(docs)
-    gone = classes.groupBy("doc_id").agg(F.max("kept").alias("any_kept")).filter(~F.col("any_kept")).select("doc_id")
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    """One row of each similarity class, that of the smallest doc_id, null last; rows without a word all stay.
+
+    Where an id is null or stands more than once, rows are compared by numbers of their own. The numbered rows are
+    written first, so that a lost executor does not number them anew.
+    """
+    if _ids_are_keys(docs):
+        gone = jaccard_join.similarity_classes(docs).filter(~F.col("kept")).select("doc_id")
+        return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    given = F.struct(*[F.col(f"`{name}`") for name in docs.columns])
+    rows = checkpointed(docs.select(given.alias("row")).withColumn("number", F.monotonically_increasing_id()))
+    classes = checkpointed(
+        jaccard_join.similarity_classes(rows.select(F.col("number").alias("doc_id"), "row.text")).select(
+            F.col("doc_id").alias("number"), "class_id"
+        )
+    )
+    place = F.struct(F.col("row.doc_id").isNull(), "row.doc_id", "number")
+    first = (
+        classes.join(rows.select("number", place.alias("place")), "number")
+        .groupBy("class_id")
+        .agg(F.min("place").getField("number").alias("number"))
+    )
+    return rows.join(first, "number", "left_semi").select("row.*")
+
+
+def _ids_are_keys(docs: DataFrame) -> bool:
+    """Whether no doc_id is null or stands more than once."""
+    odd = F.col("doc_id").isNull() | (F.col("rows") > 1)
+    return docs.groupBy("doc_id").agg(F.count("*").alias("rows")).filter(odd).isEmpty()
 
 
 def mix_sources(spark, docs, sf_dir):

@@ -97,7 +97,7 @@ def symbol_table() -> np.ndarray:
 @lru_cache(maxsize=200_000)
 def _symbol(char: str) -> int:
     code = ord(char)
-    return int(symbol_table()[code]) if code < TABLE_END else 27 + code % (SYMBOLS - 27)
+    return int(symbol_table()[code])
 
 
 def _count_trigrams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
