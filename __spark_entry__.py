@@ -24,8 +24,8 @@ from tidemark.operators.arrivals import arrive, nightly_arrivals as arrivals_of,
 from tidemark.operators.expand import base_rows_only, copies_of, expand, id_distance
 from tidemark.operators.ids import IdLedger
 from tidemark.operators.ledger import DATE, DigestLedger
-from tidemark.operators.numbering import dense_ids
 from tidemark.operators.profile_states import ProfileStates
+from tidemark.operators.ranges import dense_ids_by_ranges
 from tidemark.operators.setdiff import sparse_row_differences
 from tidemark.operators.settle import advance_boundary as advanced, band_assignments, crosses_boundary, settle
 from tidemark.operators.sink import StagedDates, append, full_load as load, publish, stage, update_rows
@@ -157,7 +157,7 @@ def schema_align(spark, sf_dir):
 
 
 def surrogate_ids(spark, sf_dir):
-    return dense_ids(
+    return dense_ids_by_ranges(
         _base(spark, sf_dir).select("shipment_id", "shipment_date"), "shipment_date", "shipment_id"
     )
 

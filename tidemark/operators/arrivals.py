@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.bands import PENDING_STATUS, PENDING_VERSION
 from tidemark.operators.ids import IdLedger
-from tidemark.operators.numbering import dense_ids
 from tidemark.operators.profile import seed_date
+from tidemark.operators.ranges import dense_ids_by_ranges
 from tidemark.operators.sink import append, partition_dates
 from tidemark.schema import SHIPMENT_COLUMNS
 from tidemark.sources.tables import shipments
@@ -65,7 +65,7 @@ def arrive(spark: SparkSession, table: str, as_of: date, ledger: IdLedger, rows:
         seeds, count = smallest_ids(seeds, rows), min(rows, count)
     rest = [name for name in SHIPMENT_COLUMNS if name != "shipment_id"]
     # Rows equal in every column may change places: their arrivals are equal but for the id.
-    ranked = dense_ids(seeds, "shipment_id", *rest, name="rank")
+    ranked = dense_ids_by_ranges(seeds, "shipment_id", *rest, name="rank")
     first = ledger.reserve(night, count)
     append(_arrived(ranked, as_of, F.col("rank") + F.lit(first - 1).cast("bigint")), table, clustered=True)
     return count
