@@ -4,6 +4,7 @@ import pytest
 
 import __spark_entry__ as registered
 from comparison import TESTDATA
+from tidemark.operators.reconcile import row_differences
 
 FOLDER = str(TESTDATA / "sf0.001")
 
@@ -48,10 +49,19 @@ def test_rows_are_combined_by_hash_before_any_sort(spark, name):
             assert "HashAggregate" in nearest
 
 
-@pytest.mark.parametrize("name", ["expand_copies", "expand_profile", "partition_row_diff", "strategy_comparison"])
+@pytest.mark.parametrize("name", ["expand_copies", "expand_profile", "strategy_comparison"])
 def test_no_join_where_rows_are_many(spark, name):
     assert "Join" not in plan(spark, name)
 
 
-def test_one_shuffle_for_row_differences(spark):
-    assert plan(spark, "partition_row_diff").count("Exchange") == 1
+def test_full_row_differences_take_one_shuffle_and_no_join(spark):
+    rows = registered._order_lines(spark, FOLDER)
+    full = row_differences(rows, rows.filter("shipment_id % 7 <> 0"))
+    physical = full._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in physical and physical.count("Exchange") == 1
+
+
+def test_sparse_row_differences_join_rows_with_differing_ids_only(spark):
+    """Rows of the two sides never meet in a join: each side keeps those of the ids found, before it is shuffled."""
+    joins = [line for line in plan(spark, "partition_row_diff").splitlines() if "Join" in line]
+    assert len(joins) == 2 and all("LeftSemi" in line for line in joins)
