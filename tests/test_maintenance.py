@@ -223,6 +223,58 @@ def test_rows_without_id_are_compared(spark):
     assert [(r.shipment_id, r.rows_source, r.rows_sink) for r in found] == [(None, 2, 0)]
 
 
+@pytest.fixture
+def tables(monkeypatch):
+    """Sizes of the tables that were filed."""
+    sizes, peeled = [], setdiff._peeled
+    monkeypatch.setattr(setdiff, "_peeled", lambda sides, dates, size: sizes.append(size) or peeled(sides, dates, size))
+    return sizes
+
+
+@pytest.mark.parametrize("cells", [setdiff.CELLS, (96,), (12,)])
+def test_tables_give_the_full_differences(spark, monkeypatch, tables, cells):
+    monkeypatch.setattr(setdiff, "CELLS_PER_ROW", 1_000)
+    source, sink = _odd(_many(spark), _many(spark))
+    found = sparse_row_differences(source, sink, cells)
+    assert tables
+    assert Counter(map(tuple, found.collect())) == Counter(map(tuple, row_differences(source, sink).collect()))
+
+
+@pytest.mark.parametrize("parts, filed", [(1, [96]), (64, [])])
+def test_tables_are_filed_where_their_cells_are_few(spark, tables, parts, filed):
+    """Every task that holds rows of a date sends cells of its own."""
+    rows = _many(spark, 3_000, 1).coalesce(1)
+    source = rows.repartition(parts) if parts > 1 else rows
+    found = sparse_row_differences(source, source.filter("shipment_id > 5")).collect()
+    assert sorted(r.shipment_id for r in found) == [1, 2, 3, 4, 5] and tables == filed
+
+
+def _joins(df):
+    return df._jdf.queryExecution().executedPlan().toString().count("LeftSemi")
+
+
+def test_many_differences_are_grouped_without_a_join(spark, monkeypatch, tables):
+    rows = _many(spark)
+    sink = rows.filter("shipment_id % 2 = 0")
+    found = sparse_row_differences(rows, sink)
+    assert _joins(found) == 0 and tables == [] and found.count() == 300
+    few = sparse_row_differences(rows, rows.filter("shipment_id > 1"))
+    assert _joins(few) == 2 and few.count() == 1
+    monkeypatch.setattr(setdiff, "IDS_SENT", 0)
+    more = sparse_row_differences(rows, rows.filter("shipment_id > 1"))
+    assert _joins(more) == 0 and more.count() == 1
+
+
+def test_rows_without_date_are_compared_where_they_differ(spark):
+    rows = _many(spark, 30)
+    undated = rows.limit(2).withColumn("shipment_date", F.lit(None).cast("date"))
+    twice = undated.unionByName(undated)
+    for source, sink in ((undated, undated.limit(0)), (undated, undated), (twice, undated), (undated.limit(0), twice)):
+        source, sink = rows.unionByName(source), rows.unionByName(sink)
+        found = sparse_row_differences(source, sink).collect()
+        assert Counter(map(tuple, found)) == Counter(map(tuple, row_differences(source, sink).collect()))
+
+
 @pytest.mark.parametrize("differences", [5, 60, 500])
 def test_tables_are_emptied_at_their_load(spark, differences):
     source = _many(spark, 40_000, 1)

@@ -3,9 +3,11 @@
 Dates whose multiset hashes agree are left out first. For each other date the rows of both sides are filed in an
 invertible Bloom table: a row adds its id, its hash and a check to three cells, those of the sink with a minus sign, so that
 equal rows leave nothing. A cell that holds one kind of row gives it back; taking it out of its other cells frees
-more. Each task sends cells, never rows, so a table costs as much as it has cells. Dates whose table cannot be emptied
-are filed in one eight times as large. Dates with more differences than the largest holds, and dates that one side lacks, are
-grouped row by row. In the end only rows of ids that differ, or of such dates, are shuffled.
+more. Each task sends cells, never rows, so a table costs as much as it has cells in the tasks that hold its date; where that
+is not well below the date's rows, there is none. Dates whose table cannot be emptied are filed in one eight times
+as large. Dates with more differences than the largest holds, and dates that one side lacks, are compared row by row: in the end
+only rows of ids that differ, or of such dates, are shuffled. Ids too many to be sent to every task are not looked for:
+then all rows are grouped, which shuffles one state of each id and task where a join would shuffle every row.
 """
 
 from __future__ import annotations
@@ -27,6 +29,10 @@ from tidemark.session import scratch_path
 CELLS = (96, 768, 6_144, 49_152)
 #: Differences for each cell that a table is expected to give back; three cells a row bear 0.81 in the limit.
 LOAD = 0.7
+#: Cells that the tasks of a round may send for each row of a date; the rounds together then cost less than grouping its rows.
+CELLS_PER_ROW = 0.5
+#: Ids that are sent to every task. Where rows of more ids are concerned, all rows are grouped.
+IDS_SENT = 1 << 20
 _THIRDS = 3
 # A third has at most 2**14 cells, so 21 bits of a hash spread evenly over it.
 _FIELD_BITS = 21
@@ -39,34 +45,51 @@ def sparse_row_differences(source: DataFrame, sink: DataFrame, cells: tuple[int,
     """What ``row_differences`` gives, at the cost of the differences where sides agree mostly.
 
     Both sides are read once for the hashes of their dates, once more on the dates that differ for every round, and
-    once for the rows of differing ids. Repeated rows count as often as they stand. Rows without id or date are compared
-    row by row.
+    once for the rows of differing ids, or for all rows where those ids are many. Repeated rows count as often as they
+    stand. Rows without id or date are compared row by row.
     """
     sides = [side.select(*SHIPMENT_COLUMNS) for side in (source, sink)]
     whole, found = [], []
     left = {}
-    for row in _differing_dates(*sides).collect():
-        if min(row["rows_source"], row["rows_sink"]) == 0:
-            whole.append(row[PARTITION_COLUMN])
+    undated = F.lit(False)
+    rows, concerned_rows = 0, 0
+    for row in _dates(*sides).collect():
+        day, counts = row[PARTITION_COLUMN], (row["rows_source"], row["rows_sink"])
+        rows += sum(counts)
+        if row["kinds"] == 1:
+            continue
+        if day is None:
+            undated = F.col(PARTITION_COLUMN).isNull()
+            concerned_rows += sum(counts)
+        elif min(counts) == 0:
+            whole.append(day)
+            concerned_rows += sum(counts)
         else:
-            left[row[PARTITION_COLUMN]] = (row["rows_source"], row["rows_sink"])
+            left[day] = (*counts, row["tasks"])
+
+    def too_many(ids: int) -> bool:
+        return ids > IDS_SENT or 2 * ids > rows
+
     for size in cells:
-        # A table larger than the rows it stands for, or too small for the rows that one side has more, is of no use.
-        fits = [d for d, (a, b) in left.items() if abs(a - b) <= LOAD * size and size < a + b]
-        if fits:
+        # A table that costs more than the rows it stands for, or too small for the rows that one side has more, is of no use.
+        fits = [d for d, (a, b, tasks) in left.items() if abs(a - b) <= LOAD * size and size * tasks <= CELLS_PER_ROW * (a + b)]
+        # Every date has as many differences as one side has rows more, at least.
+        if fits and not too_many(concerned_rows + sum(abs(a - b) for a, b, _ in left.values())):
             peeled = _peeled(sides, fits, size)
             failed = {row[PARTITION_COLUMN] for row in peeled.filter(~F.col("emptied")).select(PARTITION_COLUMN).collect()}
             found.append(peeled.filter("emptied").select(KEY_COLUMN))
+            concerned_rows += found[-1].count()
             left = {d: counts for d, counts in left.items() if d in failed or d not in fits}
+    if too_many(concerned_rows + sum(a + b for a, b, _ in left.values())):
+        return row_differences(*sides)
     whole += left
     if whole:
         found += [side.filter(on_dates(whole)).select(KEY_COLUMN) for side in sides]
-    unplaced = F.col(KEY_COLUMN).isNull() | F.col(PARTITION_COLUMN).isNull()
-    found += [side.filter(unplaced).select(KEY_COLUMN) for side in sides]
+    found += [side.filter(F.col(KEY_COLUMN).isNull() | undated).select(KEY_COLUMN) for side in sides]
     ids = found[0]
     for more in found[1:]:
         ids = ids.unionByName(more)
-    ids = ids.distinct()
+    ids = F.broadcast(ids.distinct())
 
     def concerned(side: DataFrame) -> DataFrame:
         same = F.col(f"rows.{KEY_COLUMN}").eqNullSafe(F.col(f"ids.{KEY_COLUMN}"))
@@ -75,19 +98,21 @@ def sparse_row_differences(source: DataFrame, sink: DataFrame, cells: tuple[int,
     return row_differences(*map(concerned, sides))
 
 
-def _differing_dates(source: DataFrame, sink: DataFrame) -> DataFrame:
-    """Dates whose rows are not the same on both sides, with the rows of each; rows without date are left out."""
+def _dates(source: DataFrame, sink: DataFrame) -> DataFrame:
+    """Every date, null among them, with the rows of each side, the tasks that hold them, and kinds: 1 where sides are the same."""
     counts = []
     for side, rows in (("source", source), ("sink", sink)):
         hash_xor, hash_sum = bag_hash(row_hash())
-        hashed = rows.filter(F.col(PARTITION_COLUMN).isNotNull()).groupBy(PARTITION_COLUMN)
-        counts.append(hashed.agg(F.count("*").alias("n"), hash_xor.alias("x"), hash_sum.alias("s")).withColumn("side", F.lit(side)))
+        hashed = rows.withColumn("task", F.spark_partition_id()).groupBy(PARTITION_COLUMN)
+        sums = [F.count("*").alias("n"), hash_xor.alias("x"), hash_sum.alias("s"), F.count_distinct("task").alias("tasks")]
+        counts.append(hashed.agg(*sums).withColumn("side", F.lit(side)))
     stacked = counts[0].unionByName(counts[1]).groupBy(PARTITION_COLUMN)
     held = {side: F.col("side") == side for side in ("source", "sink")}
     return stacked.agg(
         *[F.coalesce(F.max(F.when(mine, F.col("n"))), F.lit(0)).alias(f"rows_{side}") for side, mine in held.items()],
+        F.sum("tasks").alias("tasks"),
         (F.count_distinct(F.struct("n", "x", "s")) + F.when(F.count("*") < 2, 1).otherwise(0)).alias("kinds"),
-    ).filter("kinds > 1")
+    )
 
 
 def _peeled(sides: list[DataFrame], dates: list[date], size: int) -> DataFrame:
