@@ -7,6 +7,7 @@ import zlib
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -278,6 +279,36 @@ def test_lines_of_odd_rows(spark):
     assert line_dedup.dedup_lines(no_documents(spark)).count() == 0
 
 
+def _odd_texts():
+    rng = random.Random(5)
+    odd = ["", " " * 100, "\t" * 40 + "Many blanks around" + " " * 50, "123456789", "1234567890\r", "ÄÖÜäöüßéè", "日本語" * 3 + "日"]
+    odd += ["\U0001f600" * 9, "\U0001f600" * 10, "\x0b\x0cform feeds \x85\u2028"]
+    made = ["".join(rng.choice("abcXYZ äÖ\r日") for _ in range(rng.randint(0, 60))) for _ in range(300)]
+    texts = ["\n".join(rng.choice(odd + made) for _ in range(rng.randint(0, 12))) for _ in range(300)]
+    return ["", *texts, "\n\n", ("Long" * line_dedup.PIECE + " \n") * 2, "long" * line_dedup.PIECE]
+
+
+@pytest.mark.parametrize("least_chars", [10, 1, 0])
+def test_lines_found_in_bytes_are_the_plain_ones(least_chars):
+    texts = pa.array(["Sliced off\nthe batch", *_odd_texts()])[1:]
+    ids = pa.array(range(len(texts)), pa.int64())
+    batch = pa.RecordBatch.from_arrays([ids, ids, texts], names=["doc_id", "text_hash", "text"])
+    found = [tuple(r.values()) for b in line_dedup._keyed([batch], least_chars) for r in b.to_pylist()]
+    lines = [(i, line_dedup.key_of(line)) for i, text in enumerate(texts.to_pylist()) for line in text.split("\n")]
+    assert [(r[0], r[2]) for r in found] == [line for line in lines if len(line[1]) >= least_chars]
+    # Equal keys have equal hashes, others do not, and those filed are the same.
+    assert len({r[2] for r in found}) == len({r[2:] for r in found}) == len({r[3] for r in found}) == len({r[4] for r in found})
+    filed = [tuple(r.values()) for b in line_dedup._hashed([batch], least_chars) for r in b.to_pylist()]
+    assert filed == [r[3:] for r in found]
+
+
+def test_lines_are_not_made_by_expressions(spark):
+    """Spark computed the key of a line once to filter it and once more to pass it on, after a row for each line."""
+    lines = line_dedup._lines(spark.createDataFrame([(1, "a line of some text")], "doc_id long, text string"), 10)
+    physical = lines._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" in physical and "Generate" not in physical and "trim" not in physical
+
+
 def test_no_repeated_line_escapes_the_filters(spark):
     """Lines filed by many tasks: every repeated one is suspected, and few others."""
     rng = np.random.default_rng(3)

@@ -5,23 +5,26 @@ filters of their own rows; where two tasks have set the same bit of the first fi
 gets it, so no repeated line is missed. The filters are cut into cells of 8 KB, as many as the lines of the
 corpus need, and all bits of a line lie in one cell. Only lines whose bits are all set in the second filter go on: they
 are grouped by their exact text, which also finds the document that keeps them.
+
+Lines are found, trimmed, lowered and hashed as spans of the bytes of an Arrow batch, without a string for each of them. A line's hash
+is a sum of its bytes' values times powers of a number; running sums give it for all lines at once.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm._tables import checkpointed
 
 #: Blanks that do not count at the ends of a line.
 BLANKS = " \t\n\x0b\x0c\r"
-UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-_LOWERED = str.maketrans(UPPER, LOWER)
+_BLANK_BYTES = BLANKS.encode()
 #: Shorter lines stay, however often they stand.
 LEAST_CHARS = 10
 #: Bits of a filter for each line, of which a line sets SPOTS. An unrepeated line is suspected about once in 600 times.
@@ -32,19 +35,35 @@ BROADCAST_BYTES = 64 << 20
 #: Lines that a task files at once.
 LINES_AT_ONCE = 1 << 20
 
+#: Bytes whose running sums are taken at once, and blanks that are stepped over at an end of all lines at once.
+PIECE, BLANK_STEPS = 1 << 18, 32
+
 _ONCE_SCHEMA = "cell long, once binary, twice binary"
+_LINE_SCHEMA = "doc_id long, text_hash long, key string, hash long, spots long"
+_WORD = 1 << 64
+_STEP = 0x9E3779B97F4A7C15
+
 
+def _mixed(values: np.ndarray) -> np.ndarray:
+    """Values of which every bit depends on every bit of the given ones."""
+    for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+        values = (values ^ (values >> np.uint64(shift))) * np.uint64(factor)
+    return values ^ (values >> np.uint64(31))
 
-def line_key(line: Column) -> Column:
-    """A line without blanks at its ends, A-Z lowered; lowering all letters is faster where all of them are ASCII."""
-    body = F.btrim(line, F.lit(BLANKS))
-    ascii_only = F.octet_length(body) == F.char_length(body)
-    return F.when(ascii_only, F.lower(body)).otherwise(F.translate(body, UPPER, LOWER))
+
+# By byte: A-Z lowered, blank or not, first of a code point or not, value in a hash.
+_LOWERED = np.frombuffer(bytes(range(256)).lower(), np.uint8)
+_IS_BLANK = np.isin(np.arange(256), list(_BLANK_BYTES))
+_IS_FIRST = (np.arange(256) & 0xC0) != 0x80
+_VALUES = _mixed((_LOWERED.astype(np.uint64) + np.uint64(1)) * np.uint64(_STEP))
+_POWERS, _INVERSES = (
+    np.multiply.accumulate(np.array([1] + [step] * PIECE, np.uint64)) for step in (_STEP, pow(_STEP, -1, _WORD))
+)
 
 
 def key_of(line: str) -> str:
-    """``line_key`` of one line."""
-    return line.strip(BLANKS).translate(_LOWERED)
+    """A line without blanks at its ends, A-Z lowered."""
+    return line.strip(BLANKS).encode().lower().decode()
 
 
 def dedup_lines(documents: DataFrame, least_chars: int = LEAST_CHARS) -> DataFrame:
@@ -55,9 +74,9 @@ def dedup_lines(documents: DataFrame, least_chars: int = LEAST_CHARS) -> DataFra
     Other columns of documents are left out.
     """
     texts = documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    lines = _lines(texts, least_chars)
     cells = _cells(texts)
-    suspects = _suspects(lines, repeated_bits(lines, cells), cells)
+    bits = repeated_bits(texts.select("text"), cells, partial(_hashed, least_chars=least_chars))
+    suspects = _suspects(_lines(texts, least_chars), bits, cells)
     drops = _drops(checkpointed(suspects))
     rows = texts.withColumn("text_hash", F.xxhash64("text")).alias("t")
     found = drops.alias("d")
@@ -71,13 +90,107 @@ def dedup_lines(documents: DataFrame, least_chars: int = LEAST_CHARS) -> DataFra
 
 def _lines(texts: DataFrame, least_chars: int) -> DataFrame:
     """doc_id, text_hash, key, hash and spots of every line long enough."""
-    return (
-        texts.select("doc_id", F.xxhash64("text").alias("text_hash"), F.explode(F.split("text", "\n")).alias("line"))
-        .select("doc_id", "text_hash", line_key(F.col("line")).alias("key"))
-        .filter(F.char_length("key") >= least_chars)
-        .withColumn("hash", F.xxhash64("key"))
-        .withColumn("spots", F.xxhash64("hash"))
-    )
+    rows = texts.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
+    return rows.mapInArrow(partial(_keyed, least_chars=least_chars), _LINE_SCHEMA)
+
+
+def _keyed(batches: Iterator[pa.RecordBatch], least_chars: int) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        texts = batch.column("text")
+        data, rows, starts, ends = _spans(texts, least_chars)
+        if not len(rows):
+            continue
+        # The lines and what lies between them, of which the lines are taken.
+        bounds = np.column_stack([starts, ends]).ravel().astype(_offset_type(texts))
+        spans = pa.Array.from_buffers(
+            texts.type, len(bounds) - 1, [None, pa.py_buffer(bounds), pa.py_buffer(_LOWERED[data])]
+        )
+        keys = spans.take(pa.array(np.arange(0, len(bounds), 2)))
+        hashes, spots = _hashes(data, starts, ends)
+        places = pa.array(rows)
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("doc_id").take(places), batch.column("text_hash").take(places), keys, pa.array(hashes), pa.array(spots)],
+            names=["doc_id", "text_hash", "key", "hash", "spots"],
+        )
+
+
+def _hashed(batches: Iterator[pa.RecordBatch], least_chars: int) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        data, _, starts, ends = _spans(batch.column("text"), least_chars)
+        if len(starts):
+            yield pa.RecordBatch.from_arrays([pa.array(h) for h in _hashes(data, starts, ends)], names=["hash", "spots"])
+
+
+def _offset_type(texts: pa.Array) -> type:
+    return np.int64 if pa.types.is_large_string(texts.type) else np.int32
+
+
+def _spans(texts: pa.Array, least_chars: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Bytes of texts, and of each line long enough its text, its first byte that is not blank and the one after its last."""
+    if not len(texts):
+        return (np.empty(0, np.uint8), *[np.empty(0, np.int64)] * 3)
+    _, offsets, data = texts.buffers()
+    bounds = np.frombuffer(offsets, _offset_type(texts))[texts.offset : texts.offset + len(texts) + 1].astype(np.int64)
+    data = np.frombuffer(data or b"", np.uint8)
+    breaks = np.flatnonzero(data[bounds[0] : bounds[-1]] == ord("\n")) + bounds[0]
+    rows = np.repeat(np.arange(len(texts)), np.diff(np.searchsorted(breaks, bounds)) + 1)
+    # Lines follow each other, so that the n-th start and the n-th end are those of the n-th line.
+    starts = np.sort(np.concatenate([bounds[:-1], breaks + 1]))
+    ends = np.sort(np.concatenate([bounds[1:], breaks]))
+    long = ends - starts >= least_chars
+    rows, starts, ends = rows[long], starts[long], ends[long]
+    _trim(data, starts, ends)
+    sizes = ends - starts
+    long = sizes >= least_chars
+    # A code point has at most four bytes.
+    unsure = np.flatnonzero(long & (sizes < 4 * least_chars))
+    if len(unsure):
+        cuts = np.cumsum(sizes[unsure])
+        places = np.repeat(ends[unsure] - cuts, sizes[unsure]) + np.arange(cuts[-1])
+        chars = np.add.reduceat(_IS_FIRST[data[places]], cuts - sizes[unsure], dtype=np.int64)
+        long[unsure] = chars >= least_chars
+    return data, rows[long], starts[long], ends[long]
+
+
+def _trim(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> None:
+    for edges, before, step in ((starts, 0, 1), (ends, 1, -1)):
+        blank = np.flatnonzero(starts < ends)
+        for _ in range(BLANK_STEPS):
+            blank = blank[_IS_BLANK[data[edges[blank] - before]]]
+            edges[blank] += step
+            blank = blank[starts[blank] < ends[blank]]
+        for i in blank.tolist():
+            line = data[starts[i] : ends[i]].tobytes()
+            edges[i] += step * (len(line) - len(line.lstrip(_BLANK_BYTES) if step > 0 else line.rstrip(_BLANK_BYTES)))
+
+
+def _hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """hash and spots of the lines at ascending places."""
+    sums = np.empty(len(starts), np.uint64)
+    first = 0
+    while first < len(starts):
+        origin = starts[first]
+        last = int(np.searchsorted(ends, origin + PIECE, "right"))
+        if last <= first:
+            sums[first] = _long_sum(data[origin : ends[first]])
+            first += 1
+            continue
+        values = _VALUES[data[origin : ends[last - 1]]]
+        running = np.concatenate([np.zeros(1, np.uint64), np.cumsum(values * _POWERS[: len(values)])])
+        here, there = starts[first:last] - origin, ends[first:last] - origin
+        sums[first:last] = (running[there] - running[here]) * _INVERSES[here]
+        first = last
+    hashes = _mixed(sums + (ends - starts).astype(np.uint64) * np.uint64(_STEP))
+    return hashes.view(np.int64), _mixed(hashes + np.uint64(_STEP)).view(np.int64)
+
+
+def _long_sum(line: np.ndarray) -> int:
+    """The sum of a line longer than a piece."""
+    total = 0
+    for at in range(0, len(line), PIECE):
+        values = _VALUES[line[at : at + PIECE]]
+        total += int((values * _POWERS[: len(values)]).sum()) * pow(_STEP, at, _WORD)
+    return total % _WORD
 
 
 def _cells(texts: DataFrame) -> int:
@@ -87,12 +200,17 @@ def _cells(texts: DataFrame) -> int:
     return -(-lines * BITS_PER_LINE // CELL_BITS)
 
 
-def repeated_bits(lines: DataFrame, cells: int) -> DataFrame:
-    """cell and words: the second filter, CELL_BITS bits a cell as 64-bit words; cells without a set bit are left out."""
+def repeated_bits(
+    lines: DataFrame, cells: int, hashed: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]] | None = None
+) -> DataFrame:
+    """cell and words: the second filter, CELL_BITS bits a cell as 64-bit words; cells without a set bit are left out.
+
+    It is filled by hash and spots, which lines hold or ``hashed`` makes of their batches.
+    """
 
     def file(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, count = [], 0
-        for batch in batches:
+        for batch in hashed(batches) if hashed else batches:
             held.append((batch.column("hash").to_numpy(), batch.column("spots").to_numpy()))
             count += batch.num_rows
             if count >= LINES_AT_ONCE:
@@ -101,7 +219,7 @@ def repeated_bits(lines: DataFrame, cells: int) -> DataFrame:
         if count:
             yield _filed(held, cells)
 
-    parts = lines.select("hash", "spots").mapInArrow(file, _ONCE_SCHEMA)
+    parts = (lines if hashed else lines.select("hash", "spots")).mapInArrow(file, _ONCE_SCHEMA)
     merged = parts.repartition("cell").sortWithinPartitions("cell").mapInArrow(_merged, "cell long, words array<long>")
     return checkpointed(merged)
 
@@ -188,18 +306,23 @@ def _drops(suspects: DataFrame) -> DataFrame:
 def _without(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         counts, dropped, texts = [], [], []
-        keys = batch.column("keys")
-        for i, text in enumerate(batch.column("text").to_pylist()):
-            counts.append(text.count("\n") + 1)
-            if not keys[i].is_valid:
-                dropped.append(0)
-                texts.append(text)
-                continue
-            gone = set(keys[i].as_py())
-            left = [line for line in text.split("\n") if key_of(line) not in gone]
-            dropped.append(counts[-1] - len(left))
-            texts.append("\n".join(left))
+        column = batch.column("text")
+        keys = batch.column("keys").to_pylist()
+        # Bytes, whose lower() leaves all but A-Z as it is.
+        for gone, text in zip(keys, column.cast(pa.binary()).to_pylist()):
+            counts.append(text.count(b"\n") + 1)
+            left = None
+            if gone is not None:
+                gone = {key.encode() for key in gone}
+                left = [line for line in text.split(b"\n") if line.strip(_BLANK_BYTES).lower() not in gone]
+            dropped.append(counts[-1] - len(left) if gone is not None else 0)
+            texts.append(b"\n".join(left) if gone is not None else text)
         yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), pa.array(counts, pa.int64()), pa.array(dropped, pa.int64()), pa.array(texts, pa.string())],
+            [
+                batch.column("doc_id"),
+                pa.array(counts, pa.int64()),
+                pa.array(dropped, pa.int64()),
+                pa.array(texts, pa.binary()).cast(pa.string()),
+            ],
             names=["doc_id", "n_lines", "n_dropped", "text"],
         )
